@@ -7,12 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from loomsift.llm.mixing import op10_entropy_mixing
+from loomsift.llm.ogg import op1_ogg_media
+from loomsift.llm.packing import op9_linear_grouping_packing
 from loomsift.llm.sharding import op4_hash_tree_sharding
+from loomsift.llm.warc import op2_warc_round_trip
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
+        op1_ogg_media,
+        op2_warc_round_trip,
         op4_hash_tree_sharding,
+        op9_linear_grouping_packing,
         op10_entropy_mixing,
     )
 }
