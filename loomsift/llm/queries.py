@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from loomsift.llm.html_extract import op5_consensus_paths
 from loomsift.llm.mixing import op10_entropy_mixing
 from loomsift.llm.ogg import op1_ogg_media
 from loomsift.llm.packing import op9_linear_grouping_packing
@@ -18,6 +19,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op1_ogg_media,
         op2_warc_round_trip,
         op4_hash_tree_sharding,
+        op5_consensus_paths,
         op9_linear_grouping_packing,
         op10_entropy_mixing,
     )
