@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from loomsift.llm.html_extract import op5_consensus_paths
+from loomsift.llm.line_dedup import op8_winnowed_line_dedup
 from loomsift.llm.mixing import op10_entropy_mixing
 from loomsift.llm.ogg import op1_ogg_media
 from loomsift.llm.packing import op9_linear_grouping_packing
@@ -20,6 +21,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op2_warc_round_trip,
         op4_hash_tree_sharding,
         op5_consensus_paths,
+        op8_winnowed_line_dedup,
         op9_linear_grouping_packing,
         op10_entropy_mixing,
     )
