@@ -15,8 +15,10 @@ WEIGHTS = (5, 2, 1)
 MOST = 2
 #: Words of the mix as a share of all words.
 SHARE = 1.5
-#: Newton steps at most. Each halves the bracket at least, so this is far beyond what doubles resolve.
+#: Newton steps at most; a step that is no Newton step halves the bracket, so doubles resolve no more.
 STEPS = 80
+#: Steps between two looks at how far off the sums still are.
+STRIDE = 4
 
 
 def exact(c: Column) -> Column:
@@ -54,45 +56,46 @@ def rate(lam: Column, x: Column, most: int = MOST) -> Column:
     return F.lit(float(most)) / (F.lit(1.0) + F.exp(-lam * x))
 
 
+def newton_step(state: DataFrame, hist: DataFrame, most: int) -> DataFrame:
+    """One step of each source: gradient and curvature over all its (size, count) rows, then Newton, or half the bracket where that would leave it."""
+    keep = ["source", "target", "unit"]
+    x = F.col("z") / F.col("unit")
+    r = rate(F.col("lam"), x, most)
+    sums = (
+        state.join(hist, F.col("source").eqNullSafe(F.col("s")))
+        .groupBy(*keep, "lam", "lo", "hi")
+        .agg(
+            F.sum(exact(F.col("k") * F.col("z") * r)).cast("double").alias("got"),
+            F.sum(exact(F.col("k") * F.col("z") * r * (1 - r / most) * x)).cast("double").alias("slope"),
+        )
+    )
+    off = F.col("got") - F.col("target")
+    lo = F.when(off < 0, F.col("lam")).otherwise(F.col("lo"))
+    hi = F.when(off > 0, F.col("lam")).otherwise(F.col("hi"))
+    newton = F.col("lam") - F.try_divide(off, F.col("slope"))
+    step = F.when(off == 0, F.col("lam")).when((newton > lo) & (newton < hi), newton).otherwise((lo + hi) / 2)
+    return sums.select(*keep, step.alias("lam"), lo.alias("lo"), hi.alias("hi"), off.alias("off"))
+
+
 def solve(sizes: DataFrame, targets: DataFrame, most: int = MOST) -> DataFrame:
     """targets with the dual solution ``lam`` of each source, and the mean size ``unit`` it refers to.
 
-    The dual is convex in one multiplier for each source; every step sums gradient and curvature
-    over all (source, size) rows and takes a Newton step, or halves the bracket where that step
-    would leave it. Sums are exact decimals, so reruns agree to the bit.
+    The dual is convex in one multiplier for each source. Sums are exact decimals, so reruns agree
+    to the bit. Sources whose target is nothing or their cap have no finite multiplier and none here.
     """
-    state = targets.withColumns(
-        {
-            "unit": F.greatest(F.try_divide(F.col("source_size"), F.col("n")), F.lit(1e-9)),
-            "lam": F.lit(0.0),
-            "lo": F.lit(-64.0),
-            "hi": F.lit(64.0),
-            "off": F.col("target"),
-        }
-    )
-    state = stage(state, "mix-state")
-    keep = ["source", "source_size", "n", "target", "unit"]
+    unit = F.greatest(F.try_divide(F.col("source_size"), F.col("n")), F.lit(1e-9))
+    inside = (F.col("target") > 0) & (F.col("target") < most * F.col("source_size"))
+    state = targets.filter(inside).select("source", "target", unit.alias("unit"), F.lit(0.0).alias("lam"), F.lit(-64.0).alias("lo"), F.lit(64.0).alias("hi"))
     hist = sizes.select(F.col("source").alias("s"), F.col("size").alias("z"), F.col("n").alias("k"))
-    for _ in range(STEPS):
-        r, x = rate(F.col("lam"), F.col("z") / F.col("unit"), most), F.col("z") / F.col("unit")
-        sums = (
-            state.join(hist, F.col("source").eqNullSafe(F.col("s")))
-            .groupBy(*keep, "lam", "lo", "hi")
-            .agg(
-                F.sum(exact(F.col("k") * F.col("z") * r)).cast("double").alias("got"),
-                F.sum(exact(F.col("k") * F.col("z") * r * (1 - r / most) * x)).cast("double").alias("slope"),
-            )
-        )
-        off = F.col("got") - F.col("target")
-        lo = F.when(off < 0, F.col("lam")).otherwise(F.col("lo"))
-        hi = F.when(off > 0, F.col("lam")).otherwise(F.col("hi"))
-        newton = F.col("lam") - F.try_divide(off, F.col("slope"))
-        step = F.when(off == 0, F.col("lam")).when((newton > lo) & (newton < hi), newton).otherwise((lo + hi) / 2)
-        state = stage(sums.select(*keep, step.alias("lam"), lo.alias("lo"), hi.alias("hi"), off.alias("off")), "mix-state")
-        left = state.filter((F.abs("off") > 1e-7 * F.col("target") + 1e-3) & (F.col("hi") - F.col("lo") > 1e-12)).limit(1).count()
-        if not left:
+    for _ in range(STEPS // STRIDE):
+        for _ in range(STRIDE):
+            state = newton_step(state, hist, most)
+        state = stage(state, "mix-state")
+        left = state.filter((F.abs("off") > 1e-6 * F.col("target") + 1e-3) & (F.col("hi") - F.col("lo") > 1e-12))
+        if not left.limit(1).count():
             break
-    return state.select(*keep, "lam")
+    solved = state.select(F.col("source").alias("__s"), "lam")
+    return targets.withColumn("unit", unit).join(solved, F.col("source").eqNullSafe(F.col("__s")), "left").drop("__s")
 
 
 def copies_by_class(sizes: DataFrame, solved: DataFrame, most: int = MOST) -> DataFrame:
@@ -104,7 +107,7 @@ def copies_by_class(sizes: DataFrame, solved: DataFrame, most: int = MOST) -> Da
     """
     s = solved.select(F.col("source").alias("s"), "source_size", "target", "unit", "lam")
     x = sizes.join(s, F.col("source").eqNullSafe(F.col("s")))
-    r = F.when(F.col("target") >= most * F.col("source_size"), F.lit(float(most))).when(F.col("target") <= 0, F.lit(0.0)).otherwise(rate(F.col("lam"), F.col("size") / F.col("unit"), most))
+    r = F.when(F.col("target") >= most * F.col("source_size"), F.lit(float(most))).when(F.col("target") <= 0, F.lit(0.0)).otherwise(rate(F.coalesce(F.col("lam"), F.lit(0.0)), F.col("size") / F.col("unit"), most))
     x = x.withColumn("e", exact(F.col("n") * r))
     order = Window.partitionBy("source").orderBy("size")
     upto = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -129,7 +132,7 @@ def mix(rows: DataFrame, tie: list[str], weights: tuple[int, ...] = WEIGHTS, sha
     empty result.
     """
     sizes = stage(rows.groupBy("source", "size").agg(F.count(F.lit(1)).alias("n")), "mix-sizes")
-    solved = solve(sizes, source_targets(sizes, weights, share, most), most)
+    solved = stage(solve(sizes, stage(source_targets(sizes, weights, share, most), "mix-targets"), most), "mix-solved")
     classes = copies_by_class(sizes, solved, most).select(
         F.col("source").alias("__s"), F.col("size").alias("__z"), "source_size", "target",
         F.floor(F.col("copies") / F.col("n")).alias("__each"), F.pmod(F.col("copies"), F.col("n")).alias("__extra"),
