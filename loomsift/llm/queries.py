@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from loomsift.llm.html_extract import op5_consensus_paths
 from loomsift.llm.line_dedup import op8_winnowed_line_dedup
+from loomsift.llm.minhash import op3_bagminhash_near_duplicates
 from loomsift.llm.mixing import op10_entropy_mixing
 from loomsift.llm.ogg import op1_ogg_media
 from loomsift.llm.packing import op9_linear_grouping_packing
@@ -19,6 +20,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for f in (
         op1_ogg_media,
         op2_warc_round_trip,
+        op3_bagminhash_near_duplicates,
         op4_hash_tree_sharding,
         op5_consensus_paths,
         op8_winnowed_line_dedup,
