@@ -12,6 +12,7 @@ from loomsift.llm.minhash import op3_bagminhash_near_duplicates
 from loomsift.llm.mixing import op10_entropy_mixing
 from loomsift.llm.ogg import op1_ogg_media
 from loomsift.llm.packing import op9_linear_grouping_packing
+from loomsift.llm.quality import op6_weak_label_quality
 from loomsift.llm.sharding import op4_hash_tree_sharding
 from loomsift.llm.warc import op2_warc_round_trip
 
@@ -23,6 +24,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op3_bagminhash_near_duplicates,
         op4_hash_tree_sharding,
         op5_consensus_paths,
+        op6_weak_label_quality,
         op8_winnowed_line_dedup,
         op9_linear_grouping_packing,
         op10_entropy_mixing,
