@@ -10,6 +10,7 @@ from loomsift.llm.html_extract import op5_consensus_paths
 from loomsift.llm.line_dedup import op8_winnowed_line_dedup
 from loomsift.llm.minhash import op3_bagminhash_near_duplicates
 from loomsift.llm.mixing import op10_entropy_mixing
+from loomsift.llm.multi_index import op7_inverted_multi_index
 from loomsift.llm.ogg import op1_ogg_media
 from loomsift.llm.packing import op9_linear_grouping_packing
 from loomsift.llm.quality import op6_weak_label_quality
@@ -25,6 +26,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op4_hash_tree_sharding,
         op5_consensus_paths,
         op6_weak_label_quality,
+        op7_inverted_multi_index,
         op8_winnowed_line_dedup,
         op9_linear_grouping_packing,
         op10_entropy_mixing,
