@@ -23,6 +23,8 @@ from loomsift.sources.warc import BREAK, GZIP_MAGIC, WarcError, format_record, g
 LEAST = 1000
 #: Bytes of an archive that one task of the reader owns.
 SPLIT = 8 << 20
+#: Tasks that byte ranges are dealt to, at most.
+TASKS = 20_000
 #: Bytes read at a time.
 CHUNK = 1 << 20
 #: Bytes of a candidate that are inflated to look for a record's head.
@@ -256,8 +258,8 @@ def read_ranges(ranges: DataFrame) -> DataFrame:
 
 def read_files(files: DataFrame, size: int = SPLIT) -> DataFrame:
     """All records of the archives in path, bytes; a task for each byte range, dealt out by a hash of it."""
-    ranges = splits(files, size)
-    return read_ranges(ranges.repartition(F.xxhash64("path", "start")))
+    tasks = files.agg(F.sum(F.ceil(F.greatest(F.col("bytes"), F.lit(1)) / size)).alias("n")).first()["n"] or 1
+    return read_ranges(splits(files, size).repartition(min(int(tasks), TASKS), "path", "start"))
 
 
 def op2_warc_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
