@@ -27,23 +27,22 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each class, the one of the least doc_id; of equal rows, one."""
+    """One document of each class, the one of the least doc_id; of equal rows, one. Documents without words all stay."""
     classes = near_duplicates(docs.select("doc_id", "text"))
-    kept = classes.filter(F.col("doc_id").eqNullSafe(F.col("class_id"))).groupBy("k1", "k2").agg(F.count(F.lit(1)).alias("__copies"))
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "k1", "k2")).alias("m")
+    kept = classes.filter(F.col("class_key").isNotNull()).groupBy("class_key").agg(first).select("m.k1", "m.k2")
     keyed = docs.select(*COLUMNS, *row_key("doc_id", "text"))
-    return keyed.join(kept, ["k1", "k2"]).dropDuplicates(["k1", "k2"]).select(*COLUMNS)
+    wordless = F.coalesce(~F.col("text").rlike(r"\S"), F.lit(True))
+    return keyed.filter(~wordless).join(kept, ["k1", "k2"]).dropDuplicates(["k1", "k2"]).select(*COLUMNS).unionByName(docs.filter(wordless).select(*COLUMNS))
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document as often as the mix takes it."""
+    """Each document as often as the mix takes it; equal rows together as often as it takes all of them."""
     keyed = docs.select(*COLUMNS, *row_key("doc_id", "text"))
-    rows = stage(word_counts(keyed, "k1", "k2", "text").drop("text"), "mix-words")
-    taken = mix(rows, ["k1", "k2"]).groupBy("k1", "k2").agg(F.sum("copies").cast("int").alias("__copies"), F.count(F.lit(1)).alias("__rows")).filter("__copies > 0")
-    # equal rows share what they get: each gets its share, the first ones more
-    out = keyed.join(taken, ["k1", "k2"])
-    each = F.floor(F.col("__copies") / F.col("__rows")) + F.when(F.pmod(F.col("__copies"), F.col("__rows")) > 0, 1).otherwise(0)
-    times = F.when(F.col("__rows") == 1, F.col("__copies")).otherwise(each).cast("int")
-    return out.withColumn("__i", F.explode(F.sequence(F.lit(1), F.greatest(times, F.lit(1))))).select(*COLUMNS)
+    rows = stage(word_counts(keyed, "k1", "k2"), "mix-words")
+    taken = mix(rows, ["k1", "k2"]).groupBy("k1", "k2").agg(F.sum("copies").cast("int").alias("__copies")).filter("__copies > 0")
+    out = keyed.join(taken, ["k1", "k2"]).dropDuplicates(["k1", "k2"])
+    return out.withColumn("__i", F.explode(F.sequence(F.lit(1), F.col("__copies")))).select(*COLUMNS)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -245,9 +245,10 @@ def links(signed: DataFrame, docs: DataFrame, similarity: float = SIMILARITY, si
 
 
 def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, bands: int = BANDS, rows: int = ROWS, size: int = SHINGLE) -> DataFrame:
-    """k1, k2, doc_id, class_id of every row of docs with doc_id and text.
+    """k1, k2, doc_id, class_id, class_key of every row of docs with doc_id and text.
 
-    A class is what links of at least ``similarity`` connect; its id is the least doc_id in it.
+    A class is what links of at least ``similarity`` connect; its id is the least doc_id in it, and
+    its key is no other class's (null for texts without words).
     Texts of the same bag of shingles are linked. Texts without words (null, empty, white space)
     are in no class but their own. A null doc_id is passed over for the class's id unless all are
     null. Equal rows are in the same class, except those without words. An empty table gives an
@@ -255,11 +256,11 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, bands: int
     """
     signed = stage(sign(docs, bands, rows, size), "nd-signed")
     labels = links(signed, docs, similarity, size)
-    lone = signed.filter(F.col("bag").isNull()).select("k1", "k2", "doc_id", F.col("doc_id").alias("class_id"))
+    lone = signed.filter(F.col("bag").isNull()).select("k1", "k2", "doc_id", F.col("doc_id").alias("class_id"), F.lit(None).cast("binary").alias("class_key"))
     rest = signed.filter(F.col("bag").isNotNull()).select("k1", "k2", "doc_id", F.col("bag").alias("v"))
     rest = rest.join(labels, "v", "left").select("k1", "k2", "doc_id", F.coalesce("c", "v").alias("c"))
     ids = rest.groupBy("c").agg(F.min("doc_id").alias("class_id"))
-    return rest.join(ids, "c").select("k1", "k2", "doc_id", "class_id").unionByName(lone)
+    return rest.join(ids, "c").select("k1", "k2", "doc_id", "class_id", F.col("c").alias("class_key")).unionByName(lone)
 
 
 def op3_bagminhash_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
