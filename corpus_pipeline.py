@@ -33,7 +33,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     kept = classes.filter(F.col("class_key").isNotNull()).groupBy("class_key").agg(first).select("m.k1", "m.k2")
     keyed = docs.select(*COLUMNS, *row_key("doc_id", "text"))
     wordless = F.coalesce(~F.col("text").rlike(r"\S"), F.lit(True))
-    return keyed.filter(~wordless).join(kept, ["k1", "k2"]).dropDuplicates(["k1", "k2"]).select(*COLUMNS).unionByName(docs.filter(wordless).select(*COLUMNS))
+    return keyed.filter(~wordless).join(kept.hint("merge"), ["k1", "k2"]).dropDuplicates(["k1", "k2"]).select(*COLUMNS).unionByName(docs.filter(wordless).select(*COLUMNS))
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -41,7 +41,7 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     keyed = docs.select(*COLUMNS, *row_key("doc_id", "text"))
     rows = stage(word_counts(keyed, "k1", "k2"), "mix-words")
     taken = mix(rows, ["k1", "k2"]).groupBy("k1", "k2").agg(F.sum("copies").cast("int").alias("__copies")).filter("__copies > 0")
-    out = keyed.join(taken, ["k1", "k2"]).dropDuplicates(["k1", "k2"])
+    out = keyed.join(taken.hint("merge"), ["k1", "k2"]).dropDuplicates(["k1", "k2"])
     return out.withColumn("__i", F.explode(F.sequence(F.lit(1), F.col("__copies")))).select(*COLUMNS)
 
 

@@ -188,7 +188,7 @@ def verify(pairs: DataFrame, texts: DataFrame, similarity: float = SIMILARITY, s
                 good = [jaccard(bag(x, s), bag(y, t)) >= similarity for x, y, s, t in zip(*[c.to_pylist() for c in part.columns], strict=True)]
                 yield part.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
 
-    return pairs.join(ta, "a").join(tb, "b").select("a", "b", "ta", "tb").mapInArrow(run, "a binary, b binary")
+    return pairs.hint("merge").join(ta, "a").hint("merge").join(tb, "b").select("a", "b", "ta", "tb").mapInArrow(run, "a binary, b binary")
 
 
 def links(signed: DataFrame, docs: DataFrame, similarity: float = SIMILARITY, size: int = SHINGLE, rounds: int = ROUNDS) -> DataFrame:
@@ -209,9 +209,10 @@ def links(signed: DataFrame, docs: DataFrame, similarity: float = SIMILARITY, si
     found = stage(found.join(score, "v").select("v", "bucket", F.struct("score", "v").alias("rank")), "nd-ranked")
     keys = score.select("v").join(bag.select("v", "k.k1", "k.k2"), "v")
     src = docs.select(*row_key("doc_id", "text"), "text")
-    texts = stage(src.join(keys, ["k1", "k2"]).select("v", "text").dropDuplicates(["v"]), "nd-texts")
+    texts = stage(src.join(keys.hint("merge"), ["k1", "k2"]).select("v", "text").dropDuplicates(["v"]), "nd-texts")
 
     edges = labels = None
+    centres: list[DataFrame] = []
     open_ = found.withColumn("c", F.col("v"))
     for k in range(rounds + 1):
         if k:
@@ -222,12 +223,12 @@ def links(signed: DataFrame, docs: DataFrame, similarity: float = SIMILARITY, si
                 break
         if k < rounds:
             free = open_
-            for old in centres if k else []:
+            for old in centres:
                 # no new centre from the component of an earlier one, nor an earlier one again
                 was = old.join(open_.select("bucket", F.col("v").alias("a"), "c"), ["bucket", "a"]).select("bucket", "c").withColumn("__was", F.lit(True))
                 free = free.join(was, ["bucket", "c"], "left_anti")
             centre = stage(free.groupBy("bucket").agg(F.max("rank").alias("r")).select("bucket", F.col("r.v").alias("a")), "nd-centres")
-            centres = [*(centres if k else []), centre]
+            centres.append(centre)
             with_c = centre.join(open_.select("bucket", F.col("v").alias("a"), F.col("c").alias("ca")), ["bucket", "a"])
             pairs = with_c.join(open_.select("bucket", F.col("v").alias("b"), "c"), "bucket").filter(F.col("c") != F.col("ca"))
         else:
