@@ -194,7 +194,7 @@ def clean_text_tool(spark: SparkSession, sf: str) -> DataFrame:
     return _docs(spark, sf).select("doc_id", fx.clean_tool(F.col("text")).alias("clean"))
 
 
-@query("select doc_id, trim(regexp_replace(regexp_replace(text, '[^" + fx.CRAWL_KEEPS + "]', '', 'g'), ' {2,}', ' ', 'g')) clean from documents")
+@query("select doc_id, trim(regexp_replace(regexp_replace(text, '[^" + fx.CRAWL_KEEPS.replace("'", "''") + "]', '', 'g'), ' {2,}', ' ', 'g')) clean from documents")
 def clean_text_crawl(spark: SparkSession, sf: str) -> DataFrame:
     return _docs(spark, sf).select("doc_id", fx.clean_crawl(F.col("text")).alias("clean"))
 
@@ -223,7 +223,7 @@ def url_filename(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "pages").select("page_id", fx.url_to_filename(F.col("url")).alias("filename"))
 
 
-@query(f"select page_id, filename, n_chars from (select page_id, {_FILE.format(u='host')} filename, length(html) n_chars, row_number() over (partition by host order by page_id desc) k from (select *, regexp_extract(url, '^https?://[^/]+') host from pages)) where k = 1")
+@query(f"select page_id, filename, n_chars from (select page_id, {_FILE.format(u='host')} filename, length(html) n_chars, row_number() over (partition by {_FILE.format(u='host')} order by page_id desc) k from (select *, regexp_extract(url, '^https?://[^/]+') host from pages)) where k = 1")
 def url_keep_last(spark: SparkSession, sf: str) -> DataFrame:
     named = table(spark, sf, "pages").select("page_id", fx.url_to_filename(F.regexp_extract("url", "^https?://[^/]+", 0)).alias("filename"), F.length("html").cast("long").alias("n_chars"))
     return dedup.keep_last(named, "filename", ["page_id"])
