@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import fnmatch
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -9,10 +11,21 @@ from loomsift.functions.text import blank, decode_utf8, url_to_filename
 from loomsift.operators.dedup import keep_last
 
 
+def empty_files(spark: SparkSession, folder: str, pattern: str = "*.txt") -> DataFrame:
+    """name, path, text of the files without bytes, which Spark's readers pass over."""
+    sc = spark.sparkContext
+    path = sc._jvm.org.apache.hadoop.fs.Path(folder)
+    fs = path.getFileSystem(sc._jsc.hadoopConfiguration())
+    found = fs.listStatus(path) if fs.exists(path) else []
+    rows = [(f.getPath().getName(), f.getPath().toString(), "") for f in found if f.isFile() and f.getLen() == 0 and fnmatch.fnmatch(f.getPath().getName(), pattern)]
+    return spark.createDataFrame(rows, "name string, path string, text string")
+
+
 def read_texts(spark: SparkSession, folder: str, pattern: str = "*.txt") -> DataFrame:
     """name, path, text of the files in a folder, not in those below it; bytes that are not UTF-8 are left out."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(folder)
-    return files.select(F.element_at(F.split("path", "/"), -1).alias("name"), "path", decode_utf8("content").alias("text"))
+    texts = files.select(F.element_at(F.split("path", "/"), -1).alias("name"), "path", decode_utf8("content").alias("text"))
+    return texts.unionByName(empty_files(spark, folder, pattern))
 
 
 def read_corpus(spark: SparkSession, folder: str, pattern: str = "*.txt") -> DataFrame:
