@@ -1,58 +1,21 @@
-"""Helpers that the operators of this subpackage share: the shared folder, written stages, ranks in groups."""
+"""Helpers that the operators of this subpackage share."""
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Sub-buckets that the rows of one group are spread over to be ranked.
-SPREAD = 256
-
-_own_dir: str | None = None
-
-
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """The named table of a data folder."""
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
+from loomsift.storage import fresh_path, stage, table
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that the driver and all executors share, named by spark.checkpoint.dir.
+__all__ = ["fresh_path", "positional", "ranked", "stage", "table"]
 
-    Where the setting is absent, as in tests on one machine, a temporary folder is made once.
-    """
-    global _own_dir
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        return named.rstrip("/")
-    if _own_dir is None:
-        _own_dir = tempfile.mkdtemp(prefix="loomsift-")
-        spark.sparkContext.setCheckpointDir(_own_dir)
-    return _own_dir
-
-
-def fresh_path(spark: SparkSession, name: str) -> str:
-    """A path in the shared folder that nothing uses yet."""
-    return f"{shared_dir(spark)}/loomsift-{name}-{uuid.uuid4().hex}"
-
-
-def stage(df: DataFrame, name: str) -> DataFrame:
-    """Write a table into the shared folder and read it back: lineage ends here, lost executors lose nothing."""
-    path = fresh_path(df.sparkSession, name)
-    df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+#: Sub-buckets that the rows of one group are spread over to be ranked.
+SPREAD = 256
 
 
-def same(left: DataFrame, right: DataFrame, names: list[str]) -> Column:
-    """Null-safe equality of the named columns."""
-    cond = None
-    for n in names:
-        c = left[n].eqNullSafe(right[n])
-        cond = c if cond is None else cond & c
-    return cond
+def positional(df: DataFrame) -> DataFrame:
+    """The same columns under plain names, which mapInArrow needs; its function takes them by position."""
+    return df.toDF(*[f"c{i}" for i in range(len(df.columns))])
 
 
 def ranked(df: DataFrame, keys: list[str], order: list[str], out: str, spread: int = SPREAD) -> DataFrame:

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from loomsift.llm.common import stage, table
+from loomsift.llm.common import positional, stage, table
 
 # Fixed values of the language: elements without content, elements whose content is no markup,
 # elements that begin a block, and those whose start ends an open paragraph.
@@ -283,7 +283,7 @@ def extract(pages: DataFrame) -> DataFrame:
     keep = [c for c in pages.columns if c not in ("host", "path", "text", "n_chars")]
     won = stage(winning_paths(page_votes(pages)), "host-paths").select(F.col("host").alias("__host"), F.col("path").alias("__path"))
     src = pages.select(*[F.col(f"`{c}`") for c in keep], host(F.col("url")).alias("host"))
-    src = src.join(won, src["host"] == won["__host"], "left").select(*[F.col(f"`{c}`") for c in keep], "host", F.col("__path").alias("path"), F.col("html").alias("__html"))
+    src = src.join(won, F.col("host") == F.col("__host"), "left").select(*[F.col(f"`{c}`") for c in keep], "host", F.col("__path").alias("path"), F.col("html").alias("__html"))
     out = [c for c in keep if c != "html"]
     schema = T.StructType([*[pages.schema[c] for c in out], T.StructField("host", T.StringType()), T.StructField("path", T.StringType()), T.StructField("text", T.StringType()), T.StructField("n_chars", T.LongType())])
 
@@ -295,7 +295,7 @@ def extract(pages: DataFrame) -> DataFrame:
                 texts.append(page.text(page.best(path)))
             yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(texts, pa.string()), pa.array(map(len, texts), pa.int64())], names=schema.names)
 
-    return src.select(*[F.col(f"`{c}`") for c in out], "host", "path", "__html").mapInArrow(run, schema)
+    return positional(src.select(*[F.col(f"`{c}`") for c in out], "host", "path", "__html")).mapInArrow(run, schema)
 
 
 def op5_consensus_paths(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from loomsift.llm.common import stage, table
+from loomsift.llm.common import positional, stage, table
 
 BAD, NONE, GOOD = 0, 1, 2
 SAID = np.array([1.0, 0.0, 1.0])  # votes that count
@@ -223,7 +223,7 @@ def label_votes(docs: DataFrame) -> DataFrame:
         for b in batches:
             yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array([pattern(facts(t.as_py() or "")) for t in b.column(len(keep))], pa.int64())], names=schema.names)
 
-    return docs.select(*[F.col(f"`{c}`") for c in keep], "text").mapInArrow(run, schema)
+    return positional(docs.select(*[F.col(f"`{c}`") for c in keep], "text")).mapInArrow(run, schema)
 
 
 def train(docs: DataFrame, sample: int = SAMPLE) -> tuple[LabelModel, np.ndarray]:
@@ -276,7 +276,7 @@ def score(docs: DataFrame, model: LabelModel, weights: np.ndarray) -> DataFrame:
                 post = model.posterior(unpack(np.array([pattern(f) for _, f in texts], np.int64))) if texts else np.empty(0)
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(post, pa.float64()), pa.array(1 / (1 + np.exp(-np.clip(z, -30, 30))), pa.float64())], names=schema.names)
 
-    return docs.select(*[F.col(f"`{c}`") for c in keep]).mapInArrow(run, schema)
+    return positional(docs.select(*[F.col(f"`{c}`") for c in keep])).mapInArrow(run, schema)
 
 
 def classify(docs: DataFrame, sample: int = SAMPLE, threshold: float = THRESHOLD) -> DataFrame:
