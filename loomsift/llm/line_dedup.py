@@ -152,8 +152,8 @@ def dedup_lines(docs: DataFrame, least: int = LEAST, removed: str = "n_removed")
     """
     keep = [c for c in docs.columns if c != removed]
     src = docs.select(*[F.col(f"`{c}`") for c in keep], F.xxhash64("text").alias("__key"))
-    spans = repeated_spans(src.select(F.col("doc_id").cast("long"), F.col("__key").alias("key"), "text"), least).select(F.col("doc_id").alias("__d"), F.col("key").alias("__k"), "spans").hint("merge")
-    x = src.join(spans, (src["__key"] == spans["__k"]) & src["doc_id"].eqNullSafe(spans["__d"]), "left").select(*[F.col(f"`{c}`") for c in keep], F.col("spans").alias("__spans"))
+    spans = repeated_spans(src.select(F.col("doc_id").cast("long"), F.col("__key").alias("key"), "text"), least).select(F.col("doc_id").alias("__d"), F.col("key").alias("__k"), F.col("spans").alias("__spans")).hint("merge")
+    x = src.join(spans, (src["__key"] == spans["__k"]) & src["doc_id"].eqNullSafe(spans["__d"]), "left").select(*[F.col(f"`{c}`") for c in keep], "__spans")
     x = x.withColumn("__new", _rewrite(F.when(F.col("__spans").isNotNull(), F.col("text")), F.col("__spans")))
     cols = [F.when(F.col("__new").isNotNull(), F.col("__new.text")).otherwise(F.col("text")).alias("text") if c == "text" else F.col(f"`{c}`") for c in keep]
     return x.select(*cols, F.coalesce(F.col("__new.gone"), F.lit(0)).alias(removed))
