@@ -22,8 +22,11 @@ BANDS = 40
 ROWS = 6
 #: Words of the documents that are signed together.
 BATCH_WORDS = 400_000
-#: Rounds in which the members of a bucket are held against one of them, before the pairs that are still open.
-ROUNDS = 3
+#: Rounds in which the members of a bucket are held against one of them, before those still open are compared in blocks.
+ROUNDS = 2
+#: Members and characters of a block.
+BLOCK = 512
+BLOCK_CHARS = 16_000_000
 
 GOLDEN = np.uint64(0x9E3779B97F4A7C15)  # fixed values of the SplitMix64 generator
 MIX1, MIX2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
@@ -168,7 +171,7 @@ def sign(docs: DataFrame, bands: int = BANDS, rows: int = ROWS, size: int = SHIN
 
 
 def verify(pairs: DataFrame, texts: DataFrame, similarity: float = SIMILARITY, size: int = SHINGLE) -> DataFrame:
-    """The pairs a, b whose bags have at least that weighted Jaccard; texts: v, text."""
+    """ca, cb of the pairs a, b whose bags have at least that weighted Jaccard; texts: v, text."""
     ta, tb = texts.select(F.col("v").alias("a"), F.col("text").alias("ta")), texts.select(F.col("v").alias("b"), F.col("text").alias("tb"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -185,63 +188,115 @@ def verify(pairs: DataFrame, texts: DataFrame, similarity: float = SIMILARITY, s
         for b in batches:
             for k in range(0, b.num_rows, 256):
                 part = b.slice(k, 256)
-                good = [jaccard(bag(x, s), bag(y, t)) >= similarity for x, y, s, t in zip(*[c.to_pylist() for c in part.columns], strict=True)]
-                yield part.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
-
-    return pairs.hint("merge").join(ta, "a").hint("merge").join(tb, "b").select("a", "b", "ta", "tb").mapInArrow(run, "a binary, b binary")
+                good = [jaccard(bag(x, s), bag(y, t)) >= similarity for x, y, _, _, s, t in zip(*[c.to_pylist() for c in part.columns], strict=True)]
+                yield part.select(["ca", "cb"]).filter(pa.array(good, pa.bool_()))
+
+    return pairs.hint("merge").join(ta, "a").hint("merge").join(tb, "b").select("a", "b", "ca", "cb", "ta", "tb").mapInArrow(run, "ca binary, cb binary")
+
+
+def elements(text: str, size: int = SHINGLE) -> np.ndarray:
+    """A bag's elements as a set: a shingle's k-th occurrence is an element of its own, so sets overlap as the bags do."""
+    _, h, c = bags([text], size)
+    if len(h) and c.max() > 1:
+        h, nth = np.repeat(h, c), np.arange(int(c.sum())) - np.repeat(np.cumsum(c) - c, c)
+        with np.errstate(over="ignore"):
+            h = np.where(nth > 0, mix(h + nth.astype(np.uint64) * GOLDEN), h)
+    return h
+
+
+def alike(left: list[np.ndarray], right: list[np.ndarray], similarity: float) -> tuple[np.ndarray, np.ndarray]:
+    """Numbers of the pairs, one of each list, whose sets have at least that Jaccard; by way of the elements that both lists have."""
+    overlap = np.zeros((len(left), len(right)), np.int32)
+    la, lb = np.array([len(x) for x in left]), np.array([len(x) for x in right])
+    ha, hb = np.concatenate([*left, np.empty(0, np.uint64)]), np.concatenate([*right, np.empty(0, np.uint64)])
+    oa, ob = np.argsort(ha, kind="stable"), np.argsort(hb, kind="stable")
+    da, db = np.repeat(np.arange(len(left)), la)[oa], np.repeat(np.arange(len(right)), lb)[ob]
+    ua, sa, na = np.unique(ha[oa], return_index=True, return_counts=True)
+    ub, sb, nb = np.unique(hb[ob], return_index=True, return_counts=True)
+    _, i, j = np.intersect1d(ua, ub, assume_unique=True, return_indices=True)
+    for s, n, t, m in zip(sa[i].tolist(), na[i].tolist(), sb[j].tolist(), nb[j].tolist(), strict=True):
+        overlap[da[s : s + n, None], db[None, t : t + m]] += 1
+    return np.nonzero(overlap >= similarity * (la[:, None] + lb[None, :] - overlap) - 1e-9)
+
+
+def compare_blocks(rest: DataFrame, texts: DataFrame, similarity: float, size: int) -> DataFrame:
+    """ca, cb that connect the alike members of each bucket of rest (bucket, v, c), all pairs of which are held against each other.
+
+    Members are dealt to blocks of about BLOCK rows and BLOCK_CHARS characters, and a task has two
+    blocks of a bucket; pairs never become rows, and of the links found only those come out that
+    connect something new there.
+    """
+    x = rest.join(texts.withColumn("n", F.length("text")), "v")
+    sizes = x.groupBy("bucket").agg(F.greatest(F.ceil(F.count(F.lit(1)) / BLOCK), F.ceil(F.sum("n") / BLOCK_CHARS)).cast("int").alias("blocks"))
+    x = x.join(sizes, "bucket").withColumn("block", F.pmod(F.xxhash64("v"), F.col("blocks")).cast("int"))
+    others = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda o: F.struct(F.least(o, F.col("block")).alias("p"), F.greatest(o, F.col("block")).alias("q")))
+    x = x.select("bucket", "c", "text", "block", F.explode(others).alias("o")).select("bucket", "c", "text", "block", "o.p", "o.q")
+
+    def run(t: pa.Table) -> pa.Table:
+        p, q = t.column("p")[0].as_py(), t.column("q")[0].as_py()
+        names, block = t.column("c").to_pylist(), t.column("block").to_numpy()
+        sets = [elements(x, size) for x in t.column("text").to_pylist()]
+        first, second = np.flatnonzero(block == p), np.flatnonzero(block == q)
+        root = {n: n for n in names}
+
+        def find(n: bytes) -> bytes:
+            while root[n] != n:
+                root[n] = root[root[n]]
+                n = root[n]
+            return n
+
+        out = []
+        for i, j in zip(*alike([sets[k] for k in first], [sets[k] for k in second], similarity), strict=True):
+            a, b = find(names[first[i]]), find(names[second[j]])
+            if a != b:
+                root[max(a, b)] = min(a, b)
+                out.append((min(a, b), max(a, b)))
+        return pa.table({"ca": pa.array([x for x, _ in out], pa.binary()), "cb": pa.array([y for _, y in out], pa.binary())})
+
+    return x.groupBy("bucket", "p", "q").applyInArrow(run, "ca binary, cb binary")
 
 
 def links(signed: DataFrame, docs: DataFrame, similarity: float = SIMILARITY, size: int = SHINGLE, rounds: int = ROUNDS) -> DataFrame:
-    """v, c: the component of each bag that is linked to another.
+    """v, c: the component of each bag that shares a bucket with another.
 
-    Members of a bucket are held against one of them, the one that shares most buckets with
-    others. Buckets whose members are then not all in one component go into the next round, with
-    another centre from outside the components of the earlier ones; after ``rounds`` rounds the
-    pairs between components that no centre has been held against are held against each other. So
-    every pair of a bucket is either compared or already connected, and no group is compared in full.
+    In each round the members of a bucket are held against one of them, the one that shares most
+    buckets with others, and what is alike becomes one component. Buckets whose other members are
+    then not all in one component go on with another centre; after ``rounds`` rounds the members
+    that have not been centres are compared in blocks. So every pair of a bucket is either
+    compared or already connected.
     """
     bag = signed.filter(F.col("bag").isNotNull()).groupBy(F.col("bag").alias("v")).agg(F.first("bands").alias("bands"), F.min(F.struct("k1", "k2")).alias("k"))
     bag = stage(bag, "nd-bags")
     members = bag.select("v", F.explode("bands").alias("bucket"))
     shared = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).filter(F.col("size") > 1)
     found = stage(members.join(shared, "bucket"), "nd-members")
-    score = found.groupBy("v").agg(F.sum("size").alias("score"))
-    found = stage(found.join(score, "v").select("v", "bucket", F.struct("score", "v").alias("rank")), "nd-ranked")
+    score = stage(found.groupBy("v").agg(F.sum("size").alias("score")), "nd-scores")
+    open_ = stage(found.join(score, "v").select("bucket", "v", F.col("v").alias("c"), F.struct("score", "v").alias("rank")), "nd-open")
     keys = score.select("v").join(bag.select("v", "k.k1", "k.k2"), "v")
     src = docs.select(*row_key("doc_id", "text"), "text")
     texts = stage(src.join(keys.hint("merge"), ["k1", "k2"]).select("v", "text").dropDuplicates(["v"]), "nd-texts")
 
-    edges = labels = None
-    centres: list[DataFrame] = []
-    open_ = found.withColumn("c", F.col("v"))
+    labels = score.select("v", F.col("v").alias("c"))
     for k in range(rounds + 1):
-        if k:
-            open_ = found.join(labels, "v", "left").withColumn("c", F.coalesce("c", "v"))
-            unlike = open_.groupBy("bucket").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).filter(F.col("lo") != F.col("hi")).select("bucket")
-            open_ = stage(open_.join(unlike, "bucket"), "nd-open")
-            if not open_.limit(1).count():
-                break
         if k < rounds:
-            free = open_
-            for old in centres:
-                # no new centre from the component of an earlier one, nor an earlier one again
-                was = old.join(open_.select("bucket", F.col("v").alias("a"), "c"), ["bucket", "a"]).select("bucket", "c").withColumn("__was", F.lit(True))
-                free = free.join(was, ["bucket", "c"], "left_anti")
-            centre = stage(free.groupBy("bucket").agg(F.max("rank").alias("r")).select("bucket", F.col("r.v").alias("a")), "nd-centres")
-            centres.append(centre)
-            with_c = centre.join(open_.select("bucket", F.col("v").alias("a"), F.col("c").alias("ca")), ["bucket", "a"])
-            pairs = with_c.join(open_.select("bucket", F.col("v").alias("b"), "c"), "bucket").filter(F.col("c") != F.col("ca"))
+            centre = open_.groupBy("bucket").agg(F.max(F.struct("rank", "c")).alias("r")).select("bucket", F.col("r.rank.v").alias("a"), F.col("r.c").alias("ca"))
+            pairs = open_.select("bucket", F.col("v").alias("b"), F.col("c").alias("cb")).join(centre, "bucket").filter(F.col("ca") != F.col("cb"))
+            swap = F.col("a") > F.col("b")
+            pairs = pairs.select(F.when(swap, F.struct(F.col("b").alias("a"), F.col("a").alias("b"), F.col("cb").alias("ca"), F.col("ca").alias("cb"))).otherwise(F.struct("a", "b", "ca", "cb")).alias("p")).select("p.*").distinct()
+            good = verify(pairs, texts, similarity, size)
         else:
-            done = centres[0].select("bucket", "a")
-            for x in centres[1:]:
-                done = done.unionByName(x.select("bucket", "a"))
-            rest = open_.join(done.withColumnRenamed("a", "v"), ["bucket", "v"], "left_anti")
-            x, y = rest.select("bucket", F.col("v").alias("a"), F.col("c").alias("ca")), rest.select("bucket", F.col("v").alias("b"), "c")
-            pairs = x.join(y, "bucket").filter((F.col("a") < F.col("b")) & (F.col("c") != F.col("ca")))
-        pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-        good = stage(verify(pairs, texts, similarity, size), "nd-links")
-        edges = good if edges is None else edges.unionByName(good)
-        labels = components(edges)
+            good = compare_blocks(open_.select("bucket", "v", "c"), texts, similarity, size)
+        up = components(good.select(F.col("ca").alias("a"), F.col("cb").alias("b"))).select(F.col("v").alias("c"), F.col("c").alias("__up"))
+        labels = stage(labels.join(up, "c", "left").select("v", F.coalesce("__up", "c").alias("c")), "nd-labels")
+        if k == rounds:
+            break
+        # what is left: without the centres, in buckets of several components
+        left = open_.join(centre.select("bucket", F.col("a").alias("v")), ["bucket", "v"], "left_anti").drop("c").join(labels, "v")
+        left = stage(left, "nd-left")
+        unlike = left.groupBy("bucket").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).filter(F.col("lo") != F.col("hi")).select("bucket")
+        open_ = stage(left.join(unlike, "bucket"), "nd-open")
+        if not open_.limit(1).count():
+            break
     return labels
 
 
