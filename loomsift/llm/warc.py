@@ -268,5 +268,5 @@ def op2_warc_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     page = lambda c: F.regexp_extract(c, r"^urn:page:(-?\d+)$", 1).try_cast("long")
     return read_files(files).select(
         page("record_id").alias("page_id"), F.col("length").alias("payload_bytes"), F.col("digest").alias("payload_digest"), F.col("rec_type").alias("record_type"),
-        page("refers_to").alias("refers_to"), "path", "offset", "member_bytes",
+        page("refers_to").alias("refers_to"),
     )
