@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -19,6 +21,11 @@ CRAWL_KEEPS = rf"{CJK}A-Za-z0-9 !~@#$%\^&*()_+<>?:\"{{}}|,./;'\[\]\\\-！￥…
 CONTROL = r"[\x00-\x08\x0b\x0c\x0e-\x1f\x7f]"
 
 
+def bind(value: Column, use: Callable[[Column], Column]) -> Column:
+    """use(value) with the value worked out once, however often it is used."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
 def strip(c: Column) -> Column:
     """Without white space at either end."""
     return F.regexp_replace(c, rf"^[{WS}]+|[{WS}]+\z", "")
@@ -53,19 +60,21 @@ def perplexity_text(c: Column, compat_emoji: bool = True) -> Column:
 
 def segments(c: Column, limit: int = 500) -> Column:
     """The first two sentences of each third, joined by an ideographic full stop, at most ``limit`` characters; of up to three sentences the text's beginning."""
-    s = F.filter(F.split(c, SENTENCE_END, -1), lambda x: ~blank(x))
-    n = F.size(s)
-    third, two = F.floor(n / 3).cast("int"), F.floor(2 * n / 3).cast("int")
-    front = F.slice(s, F.lit(1), F.least(F.lit(2), third))
-    middle = F.slice(s, third + 1, F.least(F.lit(2), two - third))
-    back = F.slice(s, two + 1, F.least(F.lit(2), n - two))
-    return F.when(n <= 3, F.substring(c, 1, limit)).otherwise(F.substring(F.array_join(F.concat(front, middle, back), "。"), 1, limit))
+
+    def pick(s: Column) -> Column:
+        n = F.size(s)
+        third, two = F.floor(n / 3).cast("int"), F.floor(2 * n / 3).cast("int")
+        front = F.slice(s, F.lit(1), F.least(F.lit(2), third))
+        middle = F.slice(s, third + 1, F.least(F.lit(2), two - third))
+        back = F.slice(s, two + 1, F.least(F.lit(2), n - two))
+        return F.when(n <= 3, F.substring(c, 1, limit)).otherwise(F.substring(F.array_join(F.concat(front, middle, back), "。"), 1, limit))
+
+    return bind(F.filter(F.split(c, SENTENCE_END, -1), lambda x: ~blank(x)), pick)
 
 
 def scored_text(c: Column, limit: int = 500, compat_emoji: bool = True) -> Column:
     """perplexity_text, cut down to segments if it is longer than the limit."""
-    p = perplexity_text(c, compat_emoji)
-    return F.when(F.length(p) > limit, segments(p, limit)).otherwise(p)
+    return bind(perplexity_text(c, compat_emoji), lambda p: F.when(F.length(p) > limit, segments(p, limit)).otherwise(p))
 
 
 def url_to_filename(c: Column) -> Column:

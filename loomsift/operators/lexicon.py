@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from loomsift.config import FeatureConfig
-from loomsift.functions.text import WS, blank, python_lines, strip
+from loomsift.functions.text import bind, blank, python_lines, strip
 
 # Keywords that weigh three times, words too common to count, and phrases that deny.
 HEAVY = ("色情", "赌博", "特价", "促销", "优惠", "免费", "限时", "加QQ", "加微信", "http://", "www.", "点击", "链接", "联系电话", "约炮", "一夜情")
@@ -116,8 +116,12 @@ def mask(c: Column, words: list[str], sign: str = "*") -> Column:
         return low
     if len(clean) <= REGEX_WORDS:
         p = alternation(clean)
-        found = F.regexp_extract_all(low, F.lit(p), F.lit(0))
-        return F.array_join(F.zip_with(F.split(low, p, -1), found, lambda a, w: F.concat(a, F.coalesce(F.repeat(F.lit(sign), F.length(w)), F.lit("")))), "")
+
+        def cover(t: Column) -> Column:
+            found = F.regexp_extract_all(t, F.lit(p), F.lit(0))
+            return F.array_join(F.zip_with(F.split(t, p, -1), found, lambda a, w: F.concat(a, F.coalesce(F.repeat(F.lit(sign), F.length(w)), F.lit("")))), "")
+
+        return bind(low, cover)
 
     @F.arrow_udf(T.StringType())
     def cover(texts: pa.Array) -> pa.Array:
@@ -193,7 +197,7 @@ def density(c: Column, words: list[str] | None, config: FeatureConfig = FeatureC
     """
     if not words:
         return {"feature_count": F.lit(0), "feature_words": F.array().cast("array<string>"), "avg_per_line": F.lit(None).cast("double"), "feature_passed": F.lit(True)}
-    found = detect(c, words)
+    found = detect(c, words)  # twice in the plan; Spark shares it outside of lambdas
     lines = F.size(F.filter(python_lines(c), lambda x: F.length(strip(x)) >= 5))
     avg = F.coalesce(F.try_divide(F.size(found), lines), F.lit(0.0))
     return {"feature_count": F.size(found), "feature_words": found, "avg_per_line": avg, "feature_passed": avg <= config.max_feature_words_per_line}
@@ -215,13 +219,19 @@ def feature_score(c: Column, found: Column) -> Column:
     """Score of a text from its matches: fewer, and none of the heavy kind, score more; an empty text scores 0."""
     n = F.length(c)
     unlike = F.size(F.array_except(F.array_distinct(found), F.array(*[F.lit(w) for w in COMMON])))
-    low = F.lower(c)
-    heavy = None
-    for w in HEAVY:
-        hit = F.when(F.contains(low, F.lit(w)), F.lit(3)).otherwise(F.lit(0))
-        heavy = hit if heavy is None else heavy + hit
-    denies = c.rlike(DENIAL)
-    ratio = F.try_divide((unlike + heavy).cast("double"), n / F.lit(10))
-    ratio = F.when(denies, ratio * F.lit(0.3)).otherwise(ratio)
-    tier = F.when(ratio > 0.2, 0.0).when(ratio > 0.1, 0.2).when(ratio > 0.05, 0.5).when(ratio > 0.01, 0.8).otherwise(1.0)
-    return F.when(F.coalesce(n, F.lit(0)) == 0, F.lit(0.0)).when(denies & (ratio < 0.05), F.greatest(tier, F.lit(0.8))).otherwise(tier)
+
+    def heavy(low: Column) -> Column:
+        total = F.lit(0)
+        for w in HEAVY:
+            total = total + F.when(F.contains(low, F.lit(w)), F.lit(3)).otherwise(F.lit(0))
+        return total
+
+    def tiers(x: Column) -> Column:
+        q, denies = x["q"], x["denies"]
+        ratio = F.when(denies, q * F.lit(0.3)).otherwise(q)
+        tier = F.when(ratio > 0.2, 0.0).when(ratio > 0.1, 0.2).when(ratio > 0.05, 0.5).when(ratio > 0.01, 0.8).otherwise(1.0)
+        return F.when(denies & (ratio < 0.05), F.greatest(tier, F.lit(0.8))).otherwise(tier)
+
+    q = F.try_divide((unlike + bind(F.lower(c), heavy)).cast("double"), n / F.lit(10))
+    score = bind(F.struct(q.alias("q"), c.rlike(DENIAL).alias("denies")), tiers)
+    return F.when(F.coalesce(n, F.lit(0)) == 0, F.lit(0.0)).otherwise(score)
