@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loomsift.config import PerplexityConfig
-from loomsift.functions.text import scored_text
+from loomsift.functions.text import perplexity_text, scored_text
 from loomsift.operators.rules import spam_text
 
 #: Pseudo-count of the model, and characters it takes to be possible.
@@ -32,7 +32,9 @@ def train(df: DataFrame, text: str, k: int = 3) -> DataFrame:
 
 def perplexity(df: DataFrame, key: str, text: str, model: DataFrame, k: int = 3) -> DataFrame:
     """key, perplexity of each text of at least k characters under the model."""
-    own = grams(df, key, text, k).withColumnRenamed("n", "times").join(model, "gram", "left")
+    contexts = model.select(F.substring("gram", 1, k - 1).alias("c"), "context").dropDuplicates(["c"])
+    own = grams(df, key, text, k).select(key, "gram", F.col("n").alias("times"), F.substring("gram", 1, k - 1).alias("c"))
+    own = own.join(model.select("gram", "n"), "gram", "left").join(contexts, "c", "left")
     p = (F.coalesce("n", F.lit(0)) + PSEUDO) / (F.coalesce("context", F.lit(0)) + PSEUDO * POSSIBLE)
     return own.groupBy(key).agg(F.exp(-F.sum(F.col("times") * F.log(p)) / F.sum("times")).alias("perplexity"))
 
@@ -55,9 +57,13 @@ def perplexity_score(ppl: Column, text: Column, c: PerplexityConfig = Perplexity
 
 
 def score_texts(df: DataFrame, key: str, text: str, model: DataFrame | None = None, c: PerplexityConfig = PerplexityConfig()) -> DataFrame:
-    """key, perplexity, perplexity_passed, perplexity_score; texts too short for the model count as max_ppl."""
+    """key, perplexity, perplexity_passed, perplexity_score; texts too short for the model count as max_ppl.
+
+    Without a model, one is counted on the whole texts; only what is scored is cut to segments.
+    """
     prepared = df.select(F.col(key).alias(key), F.col(text).alias("__t"), scored_text(F.col(text), c.segment_chars, c.compat_emoji).alias("__p"))
-    model = train(prepared, "__p", c.order) if model is None else model
+    if model is None:
+        model = train(df.select(perplexity_text(F.col(text), c.compat_emoji).alias("__p")), "__p", c.order)
     raw = perplexity(prepared, key, "__p", model, c.order)
     x = prepared.join(raw, key, "left").withColumn("perplexity", adjusted(F.coalesce("perplexity", F.lit(c.max_ppl)), F.col("__p"), c))
     return x.select(key, "perplexity", passed(F.col("perplexity"), F.col("__t"), c).alias("perplexity_passed"), perplexity_score(F.col("perplexity"), F.col("__t"), c).alias("perplexity_score"))
