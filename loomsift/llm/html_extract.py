@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import html as entities
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -42,6 +42,7 @@ BOILERPLATE = frozenset(
 )
 CONTAINERS = frozenset("body article main section div td center".split())
 BONUS = {"article": 3.0, "main": 2.0}
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 #: Share of a child container's score that its parent gets.
 DECAY = 0.7
 LEVELS = 6
@@ -54,6 +55,7 @@ TOKEN = re.compile(
 ATTR = re.compile(r"""([^\s=/"'>]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
 WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
 NUMBER = re.compile(r"\d+")
+WORD = re.compile(r"\w")
 
 
 class Page:
@@ -67,6 +69,7 @@ class Page:
         self.dropped = [0]  # 1: by its class, 2: by its kind
         self.parse(markup)
         self.measure()
+        self.owner, self.box = self.owners()
 
     def parse(self, markup: str) -> None:
         stack, in_link, at = [0], 0, 0
@@ -194,8 +197,8 @@ class Page:
             out[k] = out[k] or out[self.parents[k]]
         return out
 
-    def scores(self) -> dict[int, float]:
-        """Score of each container: its own text that no link holds, a falling share of that of containers within, times a bonus."""
+    def owners(self) -> tuple[list[int], list[int]]:
+        """The innermost container of each item, -1 in dropped elements, and that of each element, itself if it is one; 0 is the page."""
         gone = self.gone()
         owner = [0] * len(self.items)
         box = [0] * len(self.tags)
@@ -204,6 +207,11 @@ class Page:
         mark = [(s, e, k) for k, (s, e) in enumerate(zip(self.starts, self.ends, strict=True)) if k and (self.tags[k] in CONTAINERS or self.out[k])]
         for s, e, k in mark:  # in page order, so inner ones overwrite outer ones
             owner[s:e] = [-1 if gone[k] else k] * (e - s)
+        return owner, box
+
+    def scores(self) -> dict[int, float]:
+        """Score of each container: its own text that no link holds, a falling share of that of containers within, times a bonus."""
+        owner, box = self.owner, self.box
         own: dict[int, float] = {}
         for i, x in enumerate(self.items):
             if x and owner[i] >= 0 and i not in self.links and (n := len(x.strip())):
@@ -225,12 +233,44 @@ class Page:
         named = [k for k in scores if path is not None and self.paths[k] == path]
         return max(named or scores, key=lambda k: (scores[k], -k), default=0)
 
+    def main(self, path: str | None = None) -> str:
+        """The text of all containers with the path that have text outside links, and of what encloses them, in page order.
+
+        Of enclosing containers, up to an article or main, come the blocks of their own that are
+        headings or have a word outside links. A page without the path uses that of its best container.
+        """
+        scores = self.scores()
+        if path is None or all(self.paths[k] != path for k in scores):
+            path = self.paths[self.best()]
+        chosen = [k for k in scores if self.paths[k] == path] or [0]
+        owner, box = self.owner, self.box
+        outer: set[int] = set()
+        take: set[int] = set()
+        for k in chosen:
+            take.update(i for i in range(self.starts[k], self.ends[k]) if owner[i] >= 0)
+            while k and self.tags[k] not in BONUS and (k := box[self.parents[k]]) not in outer:
+                outer.add(k)
+        headings = {i for k, t in enumerate(self.tags) if t in HEADINGS for i in range(self.starts[k], self.ends[k])}
+        block: list[int] = []
+        for i in range(len(self.items) + 1):
+            if i < len(self.items) and self.items[i] is not None and owner[i] in outer and i not in take:
+                block.append(i)
+                continue
+            if any(i in headings or i not in self.links and WORD.search(self.items[i]) for i in block):
+                take.update(block)
+            block = []
+        return self.lines(sorted(take))
+
     def text(self, k: int) -> str:
-        """The element's blocks, white space made one space, joined by line breaks."""
+        """The element's blocks."""
+        return self.lines(self.kept(k))
+
+    def lines(self, numbers: Iterable[int]) -> str:
+        """The blocks of the items, white space made one space, joined by line breaks."""
         blocks: list[str] = []
         part: list[str] = []
-        last = self.starts[k] - 1
-        for i in [*self.kept(k), None]:
+        last = -1
+        for i in [*numbers, None]:
             x = self.items[i] if i is not None else None
             if x is None or i != last + 1:
                 if line := " ".join("".join(part).split()):
@@ -248,7 +288,7 @@ def host(url: Column) -> Column:
 
 
 def page_votes(pages: DataFrame, top: int = 3) -> DataFrame:
-    """host, path, vote: each page's ``top`` containers, with their millionths of the page's best score.
+    """host, path, vote: each page's ``top`` paths, once each, with the millionths of the page's best score that their best containers have.
 
     A null html is an empty page and votes for nothing.
     """
@@ -259,8 +299,11 @@ def page_votes(pages: DataFrame, top: int = 3) -> DataFrame:
             for h, markup in zip(b.column(0).to_pylist(), b.column(1), strict=True):
                 page = Page(markup.as_py() or "")
                 scores = page.scores()
-                ranked = sorted((k for k in scores if k), key=lambda k: (-scores[k], k))[:top]
-                rows += [(h, page.paths[k], round(1e6 * scores[k] / scores[ranked[0]])) for k in ranked]
+                ranked: dict[str, float] = {}
+                for k in sorted((k for k in scores if k), key=lambda k: (-scores[k], k)):
+                    ranked.setdefault(page.paths[k], scores[k])
+                best = max(ranked.values(), default=0.0)
+                rows += [(h, path, round(1e6 * n / best)) for path, n in list(ranked.items())[:top]]
             yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate((pa.string(), pa.string(), pa.int64()))], names=["host", "path", "vote"])
 
     return pages.select(host(F.col("url")).alias("host"), "html").mapInArrow(run, "host string, path string, vote long")
@@ -276,8 +319,9 @@ def extract(pages: DataFrame) -> DataFrame:
     """Add host, path (the host's winning one), text and n_chars to pages with url and html.
 
     Hosts' paths are written to the shared folder first, so Spark knows their size and sends them
-    to all workers only if they are small; else it joins by host and splits hot ones. A page
-    without the winning path uses its own best container. Null html and pages without text give
+    to all workers only if they are small; else it joins by host and splits hot ones. The text is
+    that of all containers with the path and of the enclosing ones' own blocks (``Page.main``); a
+    page without the winning path uses that of its own best container. Null html and pages without text give
     an empty text. Other columns pass through; columns named as the outputs are replaced.
     """
     keep = [c for c in pages.columns if c not in ("host", "path", "text", "n_chars")]
@@ -292,7 +336,7 @@ def extract(pages: DataFrame) -> DataFrame:
             texts = []
             for path, markup in zip(b.column(len(out) + 1).to_pylist(), b.column(len(out) + 2), strict=True):
                 page = Page(markup.as_py() or "")
-                texts.append(page.text(page.best(path)))
+                texts.append(page.main(path))
             yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(texts, pa.string()), pa.array(map(len, texts), pa.int64())], names=schema.names)
 
     return positional(src.select(*[F.col(f"`{c}`") for c in out], "host", "path", "__html")).mapInArrow(run, schema)
