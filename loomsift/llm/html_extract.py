@@ -287,23 +287,25 @@ def host(url: Column) -> Column:
     return F.lower(F.coalesce(F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1), F.lit("")))
 
 
-def page_votes(pages: DataFrame, top: int = 3) -> DataFrame:
-    """host, path, vote: each page's ``top`` paths, once each, with the millionths of the page's best score that their best containers have.
+def page_votes(pages: DataFrame) -> DataFrame:
+    """host, path, vote: all paths of each page's containers, once each, with the millionths of the page's best score that their best containers have.
 
-    A null html is an empty page and votes for nothing.
+    Votes of the pages that come in one batch are summed. A null html is an empty page and votes for nothing.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            rows: list[tuple[str, str, int]] = []
+            votes: dict[tuple[str, str], int] = {}
             for h, markup in zip(b.column(0).to_pylist(), b.column(1), strict=True):
                 page = Page(markup.as_py() or "")
-                scores = page.scores()
-                ranked: dict[str, float] = {}
-                for k in sorted((k for k in scores if k), key=lambda k: (-scores[k], k)):
-                    ranked.setdefault(page.paths[k], scores[k])
-                best = max(ranked.values(), default=0.0)
-                rows += [(h, path, round(1e6 * n / best)) for path, n in list(ranked.items())[:top]]
+                paths: dict[str, float] = {}
+                for k, n in page.scores().items():
+                    if k:
+                        paths[page.paths[k]] = max(n, paths.get(page.paths[k], 0.0))
+                best = max(paths.values(), default=0.0)
+                for path, n in paths.items():
+                    votes[h, path] = votes.get((h, path), 0) + round(1e6 * n / best)
+            rows = [(h, path, n) for (h, path), n in votes.items()]
             yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate((pa.string(), pa.string(), pa.int64()))], names=["host", "path", "vote"])
 
     return pages.select(host(F.col("url")).alias("host"), "html").mapInArrow(run, "host string, path string, vote long")

@@ -1,4 +1,6 @@
-from loomsift.llm.html_extract import Page, extract
+from pyspark.sql import functions as F
+
+from loomsift.llm.html_extract import Page, extract, page_votes
 
 
 def run(spark, markup):
@@ -33,3 +35,22 @@ def test_wrapper_ends_at_article():
     words = "words " * 50
     assert Page(f"<body><p>outside</p><article><h2><a>Linked</a></h2><div class=t>{words}</div></article></body>").main("body>article>div.t") == f"Linked\n{words.strip()}"
     assert Page(f"<body><p>outside</p><article>{words}</article></body>").main() == words.strip()
+
+
+def test_all_containers_vote(spark):
+    boxes = [f"{i:b}".translate(str.maketrans("01", "xy")) for i in range(8, 16)]
+    page = "<body>{}<div class=text><p>{}</p></div></body>"
+    rows = []
+    for i, b in enumerate(boxes):
+        varying = "".join(f"<div class={b}{c}>{'box words ' * 30}</div>" for c in "abcd")
+        rows.append((i, f"http://h.com/{i}", page.format(varying, "the text " * 20)))
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    sums = {r["path"]: r["n"] for r in page_votes(df).groupBy("path").agg(F.sum("vote").alias("n")).collect()}
+    want = {}
+    for _, _, markup in rows:
+        p = Page(markup)
+        scores = {k: n for k, n in p.scores().items() if k}
+        for path in {p.paths[k] for k in scores}:
+            best = max(n for k, n in scores.items() if p.paths[k] == path)
+            want[path] = want.get(path, 0) + round(1e6 * best / max(scores.values()))
+    assert sums == want and sums["body>div.text"] > 0 and len(sums) == 4 * len(boxes) + 2
