@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections import Counter
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -189,6 +190,30 @@ def token_filter(c: Column, words: list[str], sign: str = "*") -> Column:
     return run(F.lower(c))
 
 
+def all_found(c: Column, words: list[str]) -> Column:
+    """words: every occurrence of every word by place, overlapping ones too, case kept; total: each once for every line that has its word."""
+    listed = sorted({w for w in words if w})
+
+    @F.arrow_udf(T.StructType([T.StructField("words", T.ArrayType(T.StringType())), T.StructField("total", T.LongType())]))
+    def scan(texts: pa.Array) -> pa.Array:
+        trie = Trie(listed)
+
+        def one(t: str) -> dict:
+            found = []
+            for i in range(len(t)):
+                at, j = trie.root, i
+                while j < len(t) and (at := at.get(t[j])) is not None:
+                    j += 1
+                    if Trie.END in at:
+                        found.append(t[i:j])
+            times = Counter(found)
+            return {"words": found, "total": sum(k for line in t.split("\n") if line.strip() for w, k in times.items() if w in line)}
+
+        return pa.array([None if t is None else one(t) for t in texts.to_pylist()], pa.struct([("words", pa.list_(pa.string())), ("total", pa.int64())]))
+
+    return scan(c)
+
+
 def density(c: Column, words: list[str] | None, config: FeatureConfig = FeatureConfig()) -> dict[str, Column]:
     """feature_count, feature_words, avg_per_line and feature_passed.
 
@@ -197,6 +222,14 @@ def density(c: Column, words: list[str] | None, config: FeatureConfig = FeatureC
     """
     if not words:
         return {"feature_count": F.lit(0), "feature_words": F.array().cast("array<string>"), "avg_per_line": F.lit(None).cast("double"), "feature_passed": F.lit(True)}
+    if config.mode not in ("shortest", "all"):
+        raise ValueError(f"no mode {config.mode}")
+    if config.mode == "all":
+        every = all_found(c, words)
+        found, total = every["words"], every["total"]
+        lines = F.size(F.filter(python_lines(c), lambda x: F.length(strip(x)) >= 5))
+        avg = F.coalesce(F.try_divide(total, lines), F.lit(0.0))
+        return {"feature_count": F.size(found), "feature_words": found, "avg_per_line": avg, "feature_passed": avg <= config.max_feature_words_per_line}
     found = detect(c, words)  # twice in the plan; Spark shares it outside of lambdas
     lines = F.size(F.filter(python_lines(c), lambda x: F.length(strip(x)) >= 5))
     avg = F.coalesce(F.try_divide(F.size(found), lines), F.lit(0.0))
