@@ -5,6 +5,9 @@ is a stretch of lines with content. The result has a plain definition, which tes
 force: a line goes if it lies in a run of at least ``least`` words that also occurs with an earlier
 start (in order of doc_id, hash of the text, line number).
 
+Only whole lines count: a repeated passage that begins or ends inside a line stays, unless its whole
+lines alone have ``least`` words.
+
 1. Winnowing: for each line, the window is the shortest run from there with ``least`` words or
    more; the line of the least hash in it is its fingerprint. Any run of ``least`` words has a whole
    window in it, so both places of a repeated run select the same fingerprint in it.
