@@ -52,7 +52,8 @@ def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES = [("quality classifier", quality), ("line dedup", lines), ("near dedup", near_dedup), ("mixing", mixing), ("packing", packing)]
 
-#: Tokenising, hashing and fitted models have no SQL form; tests hold each stage against brute force.
+#: Tokenising, hashing and fitted models have no SQL form. The pipeline's test checks sizes, near-duplicates left, copies and
+#: pieces; it recomputes no stage's rows, so documents that a stage lost would not show.
 ORACLE_SQL = None
 
 
