@@ -2,17 +2,47 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
+from collections.abc import Callable, Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from loomsift.storage import fresh_path, stage, table
 
-__all__ = ["fresh_path", "positional", "ranked", "stage", "table"]
+__all__ = ["fresh_path", "frugal", "positional", "ranked", "stage", "table"]
 
 #: Sub-buckets that the rows of one group are spread over to be ranked.
 SPREAD = 256
 
 
+def frugal(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """The same function of batches; at its task's end the worker gives its free memory back.
+
+    Spark uses workers again, so what one stage has freed but not returned would stand beside what the next one needs.
+    """
+
+    def through(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            release()
+
+    return through
+
+
+def release() -> None:
+    """Free memory goes back to the system, as far as the allocators can tell it."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # another C library, which has no such call
+        pass
+
+
 def positional(df: DataFrame) -> DataFrame:
     """The same columns under plain names, which mapInArrow needs; its function takes them by position."""
     return df.toDF(*[f"c{i}" for i in range(len(df.columns))])

@@ -8,9 +8,11 @@ from __future__ import annotations
 
 import json
 import os
+import re
+import unicodedata
 import zlib
 from collections import deque
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -19,22 +21,33 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomsift.llm.common import ranked, stage, table
+from loomsift.llm.common import frugal, ranked, stage, table
 
 CAPACITY = 4096
 #: The id that ends a document.
 END_ID = 1
 #: Groups of equal cardinality that large lengths are rounded up in.
-GROUPS = 16
-#: Lengths up to capacity // SMALL are small: they go into what the large ones leave.
+GROUPS = 128
+#: Lengths up to capacity // SMALL are small: they go into what the large ones leave. A configuration has fewer than SMALL large ones.
 SMALL = 4
-#: Words whose ids a worker remembers; beyond, it forgets all and starts again.
-REMEMBERED = 600_000
-#: The tokenizer's own pattern of what it takes apart before merging (a fixed value).
+#: Characters of texts that are tokenised together, and bytes of tokens with their ids that a task remembers; beyond, it starts again.
+AT_ONCE = 1 << 21
+REMEMBERED = 48 << 20
+#: About the bytes that a remembered token takes besides its letters and ids.
+ENTRY = 200
+
+
+def _class(major: str) -> str:
+    """A class for patterns of the letters of the tables below U+0180 that are of a major Unicode category."""
+    return "".join(re.escape(c) for c in map(chr, [*range(0x21, 0x7F), *range(0xA1, 0x180)]) if c != "\u0130" and unicodedata.category(c)[0] == major)
+
+
+#: The tokenizer's own pattern of what it takes apart before merging (a fixed value): for any text, and for Latin letters.
 PRE_TOKEN = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+").findall
-#: Words of these letters are in composed form and have one lower case in every library.
-LATIN = regex.compile(r"[\x21-\x7e\xa1-\u012f\u0131-\u017f]+").fullmatch
-CONTROL = regex.compile("[\x1c-\x1f]").search
+LATIN_TOKEN = re.compile(rf"[{_class('L')}]+|'(?:s|t|re|ve|m|ll|d)|[{_class('N')}]|[^\s{_class('L')}{_class('N')}]+").findall
+#: Texts of these letters are in composed form and have one lower case in every library.
+FOREIGN = re.compile("[^\x09-\x0d\x20-\x7e\xa1-\u012f\u0131-\u017f]").search
+CONTROL = re.compile("[\x1c-\x1f]").search
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
@@ -64,9 +77,35 @@ class PairMerges:
         self.final = np.array([vocab[letters[b] + end] for b in range(256)], np.int64)
         pairs = [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
         keys = np.array([vocab[x] << 32 | vocab[y] for x, y in pairs], np.int64)
-        order = np.argsort(keys)
-        self.keys, self.rank = keys[order], order
         self.made = np.array([vocab[x + y] for x, y in pairs], np.int64)
+        # pairs by hash, in the first free place from theirs on; ranks one past the last mean none
+        self.bits = max(4, (4 * len(keys)).bit_length())
+        self.keys, self.rank = np.full(1 << self.bits, -1, np.int64), np.full(1 << self.bits, len(keys), np.int64)
+        todo, at = np.arange(len(keys)), self.place(keys)
+        while len(todo):
+            free = self.keys[at] < 0
+            self.keys[at[free]], self.rank[at[free]] = keys[todo[free]], todo[free]
+            lost = self.keys[at] != keys[todo]
+            todo, at = todo[lost], (at[lost] + 1) & (len(self.keys) - 1)
+
+    def place(self, keys: np.ndarray) -> np.ndarray:
+        return (keys.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(64 - self.bits)).view(np.int64)
+
+    def ranks(self, keys: np.ndarray) -> np.ndarray:
+        """The rank of each pair's merge, or the number of merges."""
+        at = self.place(keys)
+        out, seen = self.rank[at], self.keys[at]
+        todo = np.flatnonzero((seen != keys) & (seen >= 0))
+        at = at[todo]
+        out[todo] = len(self.made)
+        while len(todo):
+            at = (at + 1) & (len(self.keys) - 1)
+            seen = self.keys[at]
+            hit = seen == keys[todo]
+            out[todo[hit]] = self.rank[at[hit]]
+            more = ~hit & (seen >= 0)
+            todo, at = todo[more], at[more]
+        return out
 
     def __call__(self, tokens: list[bytes]) -> list[bytes]:
         """The ids of each non-empty token, as little-endian bytes."""
@@ -75,12 +114,11 @@ class PairMerges:
         sym, word = self.inner[raw], np.repeat(np.arange(len(tokens)), lens)
         last = np.cumsum(lens) - 1
         sym[last] = self.final[raw[last]]
-        none = len(self.rank)
+        none = len(self.made)
         done: list[tuple[np.ndarray, np.ndarray]] = []
         while len(sym):
             key = sym[:-1] << 32 | sym[1:]
-            at = np.minimum(np.searchsorted(self.keys, key), none - 1)
-            rank = np.append(np.where((self.keys[at] == key) & (word[:-1] == word[1:]), self.rank[at], none), none)
+            rank = np.append(np.where(word[:-1] == word[1:], self.ranks(key), none), none)
             starts = np.flatnonzero(np.append(True, word[1:] != word[:-1]))
             best = np.repeat(np.minimum.reduceat(rank, starts), np.diff(np.append(starts, len(word))))
             going = best < none
@@ -102,53 +140,80 @@ class PairMerges:
         return [data[i:j] for i, j in zip([0, *ends[:-1]], ends, strict=True)]
 
 
-class WordIds:
-    """Ids of texts; words between white space are remembered.
+@lru_cache(maxsize=2)
+def pair_merges(path: str) -> PairMerges:
+    """The merges of a tokenizer file, kept by the worker: arrays of some two megabytes."""
+    return PairMerges(path)
+
+
+class TextIds:
+    """Ids of texts, by way of their pre-tokens in lower case; what a task has merged it remembers, up to REMEMBERED bytes.
 
     The tokenizer drops white space and never merges over it, so a text's ids are those of its
-    words, and a word's are those of its pre-tokens, in lower case. That way is taken for words of
-    Latin letters and signs; all others, and texts with the tokenizer's special tokens or with
-    control characters that Python alone takes for white space, go through the library whole.
+    pre-tokens. Words with other than Latin letters go through the library one by one, and texts
+    with the tokenizer's special tokens, or with control characters that Python alone takes for
+    white space, go through it whole.
     """
 
     def __init__(self, path: str):
-        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        from tokenizers import Tokenizer
-
-        self.tokenizer, self.merges = Tokenizer.from_file(path), PairMerges(path)
-        self.words: dict[str, bytes] = {}
+        self.path, self.merges = path, pair_merges(path)
         self.tokens: dict[str, bytes] = {}
+        self.held = 0
+        self.library = None
 
     def whole(self, text: str) -> bytes:
-        return np.asarray(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-
-    def learn(self, words: set[str]) -> None:
-        new = words.difference(self.words)
-        parts = {w: PRE_TOKEN(w.lower()) for w in new if LATIN(w)}
-        fresh = list(set().union(*parts.values()).difference(self.tokens))
-        if fresh:
-            self.tokens.update(zip(fresh, self.merges([t.encode() for t in fresh]), strict=True))
-        get = self.tokens.__getitem__
-        self.words.update({w: b"".join(map(get, p)) for w, p in parts.items()})
-        self.words.update({w: self.whole(w) for w in new if w not in parts})
+        if self.library is None:
+            os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
+            from tokenizers import Tokenizer
+
+            self.library = Tokenizer.from_file(self.path)
+        return np.asarray(self.library.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+
+    def learn(self, tokens: set[str]) -> None:
+        if self.held > REMEMBERED:
+            self.tokens, self.held = {}, 0
+        if fresh := list(tokens.difference(self.tokens)):
+            ids = self.merges([t.encode() for t in fresh])
+            self.tokens.update(zip(fresh, ids, strict=True))
+            self.held += sum(map(len, fresh)) + sum(map(len, ids)) + ENTRY * len(fresh)
+
+    def foreign(self, text: str) -> list[str | bytes]:
+        """Pre-tokens of the Latin words, and the ids of the others."""
+        out: list[str | bytes] = []
+        for w in text.split():
+            out += [self.whole(w)] if FOREIGN(w) else LATIN_TOKEN(w.lower())
+        return out
 
     def ids(self, texts: list[str]) -> list[bytes]:
-        if len(self.words) > REMEMBERED:
-            self.words.clear()
-        if len(self.tokens) > REMEMBERED:
-            self.tokens.clear()
-        split = [None if "<|" in t or CONTROL(t) else t.split() for t in texts]
-        words: set[str] = set()
-        for w in split:
-            words.update(w or ())
-        self.learn(words)
-        get = self.words.__getitem__
-        return [self.whole(t) if w is None else b"".join(map(get, w)) for t, w in zip(texts, split, strict=True)]
+        split: list[list] = []
+        plain: set[str] = set()
+        for t in texts:
+            if "<|" in t or CONTROL(t):
+                split.append([self.whole(t)])
+            elif FOREIGN(t):
+                split.append(self.foreign(t))
+                plain.update(x for x in split[-1] if isinstance(x, str))
+            else:
+                split.append(LATIN_TOKEN(t.lower()))
+                plain.update(split[-1])
+        self.learn(plain)
+        get = self.tokens.__getitem__
+        try:
+            return [b"".join(map(get, s)) for s in split]
+        except KeyError:
+            return [b"".join(x if isinstance(x, bytes) else get(x) for x in s) for s in split]
 
 
-@lru_cache(maxsize=2)
-def word_ids(path: str) -> WordIds:
-    return WordIds(path)
+def parts(texts: Iterable[str], most: int) -> Iterator[int]:
+    """How many texts come next, again and again, so that they have about ``most`` characters, or are one text."""
+    n = chars = 0
+    for t in texts:
+        if n and chars + len(t) > most:
+            yield n
+            n = chars = 0
+        n, chars = n + 1, chars + len(t) + 64
+    if n:
+        yield n
 
 
 def cut(ids: bytes, capacity: int) -> Iterator[tuple[int, int, int, int]]:
@@ -168,15 +233,18 @@ def tokenize_pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, e
     kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = word_ids(tokenizer)
+        tokens = TextIds(tokenizer)
         for b in batches:
-            for k in range(0, b.num_rows, 1024):
-                part = b.slice(k, 1024)
-                texts = [t or "" for t in part.column(1).to_pylist()]
-                rows = [(d, *p) for d, ids in zip(part.column(0).to_pylist(), words.ids(texts), strict=True) for p in cut(ids + end, capacity)]
-                yield pa.RecordBatch.from_arrays([pa.array(c, x) for c, x in zip(zip(*rows, strict=True), kinds, strict=True)], names=["doc_id", "piece", "start", "length", "ids_crc32"])
+            for at in range(0, b.num_rows, 1024):
+                some = b.slice(at, 1024)
+                docs_, texts = some.column(0).to_pylist(), [t or "" for t in some.column(1).to_pylist()]
+                k = 0
+                for n in parts(texts, AT_ONCE):
+                    rows = [(d, *p) for d, ids in zip(docs_[k : k + n], tokens.ids(texts[k : k + n]), strict=True) for p in cut(ids + end, capacity)]
+                    yield pa.RecordBatch.from_arrays([pa.array(c, x) for c, x in zip(zip(*rows, strict=True), kinds, strict=True)], names=["doc_id", "piece", "start", "length", "ids_crc32"])
+                    k += n
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, PIECES)
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(frugal(run), PIECES)
 
 
 class Plan:
@@ -204,87 +272,127 @@ class Plan:
             self.room[self.capacity - used].append((first, n))
 
 
-def linear_groups(counts: dict[int, int], groups: int) -> list[tuple[int, deque]]:
-    """Lengths, largest first, cut into groups of equal cardinality: the rounded length of each, and its actual runs (length, count)."""
+def linear_groups(counts: dict[int, int], groups: int) -> dict[int, deque]:
+    """Lengths, largest first, cut into groups of equal cardinality: the rounded length of each, and its actual runs [length, count].
+
+    Groups of one rounded length are one.
+    """
     total = sum(counts.values())
     size = max(1, -(-total // groups))
-    out: list[tuple[int, deque]] = []
+    out: dict[int, deque] = {}
     left = 0
     for length in sorted(counts, reverse=True):
         n = counts[length]
         while n:
             if not left:
-                out.append((length, deque()))
-                left = size
+                top, left = length, size
             k = min(n, left)
-            out[-1][1].append([length, k])
+            out.setdefault(top, deque()).append([length, k])
             n, left = n - k, left - k
     return out
 
 
-def fullest(sizes: list[int], counts: list[int], must: int, capacity: int) -> list[tuple[int, int]]:
-    """The configuration with size number ``must`` that fills most: (number, times) by dynamic programming over reachable sums."""
-    counts = [n - (i == must) for i, n in enumerate(counts)]
-    top = capacity - sizes[must]
-    mask = (1 << (top + 1)) - 1
-    reach = [1]
-    order = [i for i in range(len(sizes)) if counts[i] and sizes[i] <= top]
-    for i in order:
-        r = reach[-1]
-        for _ in range(min(counts[i], top // sizes[i])):
-            grown = (r | reach[-1] | (r << sizes[i])) & mask
-            if grown == r:
-                break
-            r = grown
-        reach.append(r)
-    at = reach[-1].bit_length() - 1
-    used = {must: 1}
-    for k in range(len(order) - 1, -1, -1):
-        i = order[k]
-        n = 0
-        while not reach[k] >> at & 1:
-            at -= sizes[i]
-            n += 1
-        if n:
-            used[i] = used.get(i, 0) + n
-    return sorted(used.items())
-
-
-def pack_large(plan: Plan, counts: dict[int, int], groups: int) -> None:
-    """Configurations of rounded lengths, each used as often as counts allow, with actual pieces put in."""
+def dearest(sizes: np.ndarray, price: np.ndarray, capacity: int, most: int) -> np.ndarray:
+    """The numbers of the at most ``most`` sizes that fit the capacity and have the largest sum of prices: a knapsack by dynamic programming."""
+    tables = [np.zeros(capacity + 1)]
+    for _ in range(most - 1):
+        low = tables[-1]
+        up = low.copy()
+        for s, p in zip(sizes.tolist(), price.tolist(), strict=True):
+            if p > 0:
+                np.maximum(up[s:], low[: capacity + 1 - s] + p, out=up[s:])
+        tables.append(up)
+    used, room = [], capacity
+    for k in range(most - 1, -1, -1):
+        value = np.where(sizes <= room, price + tables[k][room - np.minimum(sizes, room)], -1.0)
+        i = int(np.argmax(value))
+        if value[i] <= (tables[k][room] if k else 0.0) + 1e-12:
+            continue  # one size less is worth as much
+        used.append(i)
+        room -= int(sizes[i])
+    return np.array(used, np.int64)
+
+
+def configurations(sizes: np.ndarray, demand: np.ndarray, capacity: int, most: int, gap: float = 2e-4) -> tuple[np.ndarray, np.ndarray]:
+    """Configurations (columns of how often each size is in one) and how often to use each, for the fewest sequences in fractions.
+
+    The linear program is solved by column generation: the simplex method over a basis of as many
+    configurations as there are sizes, and the knapsack prices for the next one. It ends when no
+    configuration is worth more than a sequence, or Farley's bound shows the sum to be within ``gap``
+    of the least; a hundred steps a size are never needed but bound the work.
+    """
+    n = len(sizes)
+    start = np.minimum(capacity // sizes, most).astype(float)
+    basis, inverse = np.diag(start), np.diag(1 / start)
+    x = (demand + 1e-5 * np.arange(1, n + 1)) / start  # apart, so that no two steps tie for ever
+    for step in range(100 * n):
+        price = inverse.sum(axis=0)
+        used = dearest(sizes, price, capacity, most)
+        column = np.bincount(used, minlength=n).astype(float)
+        worth = price @ column
+        if worth <= 1 + 1e-9 or x.sum() * (1 - 1 / worth) <= gap * x.sum():
+            break
+        way = inverse @ column
+        ratio = np.where(way > 1e-9, x / np.where(way > 1e-9, way, 1.0), np.inf)
+        out = int(np.argmin(ratio))
+        x = np.maximum(x - ratio[out] * way, 0.0)
+        x[out] = ratio[out]
+        basis[:, out] = column
+        if step % 200 == 199:
+            inverse = np.linalg.inv(basis)
+        else:
+            row = inverse[out] / way[out]
+            inverse = inverse - np.outer(way, row)
+            inverse[out] = row
+    return basis.astype(np.int64), x
+
+
+def pack_large(plan: Plan, counts: dict[int, int], groups: int, most: int) -> dict[int, int]:
+    """Configurations of rounded lengths, as often as the linear program says in whole numbers, with actual pieces put in.
+
+    Returns what is left: pieces that the program leaves alone in a sequence, where their actual
+    length may find a room that the rounded one does not, and what whole numbers leave over.
+    """
     made = linear_groups(counts, groups)
-    sizes, runs = [s for s, _ in made], [r for _, r in made]
-    left = [sum(k for _, k in r) for r in runs]
-    while any(left):
-        must = next(i for i, n in enumerate(left) if n)
-        config = fullest(sizes, left, must, plan.capacity)
-        times = min(left[i] // k for i, k in config)
-        slots = [i for i, k in config for _ in range(k)]
-        for i, k in config:
-            left[i] -= k * times
+    if not made:
+        return {}
+    sizes, runs = np.array(list(made), np.int64), list(made.values())
+    left = np.array([sum(k for _, k in r) for r in runs], np.int64)
+    columns, x = configurations(sizes, left.astype(float), plan.capacity, most)
+    whole = np.floor(x + 1e-6).astype(np.int64)
+    order = np.argsort(whole - x, kind="stable")  # the largest fractions are rounded up first, as far as pieces are left
+    for extra, j in [*((0, j) for j in range(len(x))), *((1, j) for j in order.tolist() if x[j] - whole[j] > 0.5)]:
+        need = columns[:, j]
+        if need.sum() < 3:
+            continue
+        some = np.flatnonzero(need)
+        times = int(min(extra or whole[j], (left[some] // need[some]).min()))
+        left[some] -= need[some] * times
+        slots = [i for i in some.tolist() for _ in range(int(need[i]))]
         while times:
             n = times
-            need: dict[int, int] = {}
-            for i in slots:
-                need[i] = need.get(i, 0) + 1
-            for i, k in need.items():  # as many bins as the runs in front fill alike
-                front = runs[i][0][1]
+            for i in some.tolist():  # as many sequences as the runs in front fill alike
+                front, k = runs[i][0][1], int(need[i])
                 n = min(n, front // k if front >= k else 1)
             first, used = plan.new(n), 0
             for i in slots:
                 length, k = runs[i][0]
-                if k >= n:
-                    plan.put(length, n, first, used)
-                    runs[i][0][1] -= n
-                    if k == n:
-                        runs[i].popleft()
+                n_here = min(n, k)
+                plan.put(length, n_here, first, used)
+                runs[i][0][1] -= n_here
+                if k == n_here:
+                    runs[i].popleft()
                 used += length
             plan.leave(first, n, used)
             times -= n
+    rest: dict[int, int] = {}
+    for length, k in (r for run in runs for r in run):
+        rest[length] = rest.get(length, 0) + k
+    return rest
 
 
 def pack_small(plan: Plan, counts: dict[int, int]) -> None:
-    """Each length, largest first, into the least room that holds it, else into new sequences."""
+    """What is left of the large lengths and the small ones, largest first, into the least room that holds it, else into new sequences."""
     for length in sorted(counts, reverse=True):
         n, room = counts[length], length
         while n:
@@ -311,8 +419,8 @@ def make_plan(histogram: dict[int, int], capacity: int = CAPACITY, groups: int =
     """A place for every piece counted in ``histogram`` (length to number)."""
     plan = Plan(capacity)
     limit = capacity // small
-    pack_large(plan, {k: n for k, n in histogram.items() if k > limit and n}, groups)
-    pack_small(plan, {k: n for k, n in histogram.items() if k <= limit and n})
+    rest = pack_large(plan, {k: n for k, n in histogram.items() if k > limit and n}, groups, small - 1)
+    pack_small(plan, rest | {k: n for k, n in histogram.items() if k <= limit and n})
     return plan
 
 
@@ -336,7 +444,7 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, groups: int = GROUPS, smal
             at = np.searchsorted(keys, length << 40 | rank, "right") - 1
             yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(first[at] + rank - lo[at]), pa.array(offset[at])], names=[*b.schema.names[:-1], "sequence_id", "offset"])
 
-    return placed.mapInArrow(run, PIECES + ", sequence_id long, offset long")
+    return placed.mapInArrow(frugal(run), PIECES + ", sequence_id long, offset long")
 
 
 def pack_documents(docs: DataFrame, tokenizer: str | None = None, capacity: int = CAPACITY) -> DataFrame:
