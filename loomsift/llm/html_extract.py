@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from loomsift.llm.common import positional, stage, table
+from loomsift.llm.common import frugal, positional, stage, table
 
 # Fixed values of the language: elements without content, elements whose content is no markup,
 # elements that begin a block, and those whose start ends an open paragraph.
@@ -308,7 +308,7 @@ def page_votes(pages: DataFrame) -> DataFrame:
             rows = [(h, path, n) for (h, path), n in votes.items()]
             yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate((pa.string(), pa.string(), pa.int64()))], names=["host", "path", "vote"])
 
-    return pages.select(host(F.col("url")).alias("host"), "html").mapInArrow(run, "host string, path string, vote long")
+    return pages.select(host(F.col("url")).alias("host"), "html").mapInArrow(frugal(run), "host string, path string, vote long")
 
 
 def winning_paths(votes: DataFrame) -> DataFrame:
@@ -341,7 +341,7 @@ def extract(pages: DataFrame) -> DataFrame:
                 texts.append(page.main(path))
             yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(texts, pa.string()), pa.array(map(len, texts), pa.int64())], names=schema.names)
 
-    return positional(src.select(*[F.col(f"`{c}`") for c in out], "host", "path", "__html")).mapInArrow(run, schema)
+    return positional(src.select(*[F.col(f"`{c}`") for c in out], "host", "path", "__html")).mapInArrow(frugal(run), schema)
 
 
 def op5_consensus_paths(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from loomsift.llm.common import stage, table
+from loomsift.llm.common import frugal, stage, table
 
 #: Words of the shortest run that counts as repeated.
 LEAST = 50
@@ -105,7 +105,7 @@ def fingerprints(docs: DataFrame, least: int = LEAST) -> DataFrame:
                 if rows:
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)], names=["doc_id", "key", "fp", "pos", "windows"])
 
-    return docs.select("doc_id", "key", "text").mapInArrow(run, FINGERPRINTS)
+    return docs.select("doc_id", "key", "text").mapInArrow(frugal(run), FINGERPRINTS)
 
 
 def repeated_spans(docs: DataFrame, least: int = LEAST) -> DataFrame:

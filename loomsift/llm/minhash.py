@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from collections import OrderedDict
 from collections.abc import Iterator
 
 import numpy as np
@@ -11,7 +10,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomsift.llm.common import stage, table
+from loomsift.llm.common import frugal, stage, table
 from loomsift.operators.components import components
 
 #: Words in a shingle, and the least weighted Jaccard similarity of near-duplicates.
@@ -21,7 +20,11 @@ SIMILARITY = 0.8
 BANDS = 40
 ROWS = 6
 #: Words of the documents that are signed together.
-BATCH_WORDS = 400_000
+BATCH_WORDS = 200_000
+#: Bands whose buckets are gone through first; most of what is alike is then connected, and the buckets of all bands are the fewer.
+FIRST = 8
+#: Members of a bucket's centre that a task compares with it, about.
+CHUNK = 4096
 #: Rounds in which the members of a bucket are held against one of them, before those still open are compared in blocks.
 ROUNDS = 2
 #: Members and characters of a block.
@@ -76,13 +79,14 @@ def bags(texts: list[str | None], size: int = SHINGLE) -> tuple[np.ndarray, np.n
 def bagminhash(doc: np.ndarray, element: np.ndarray, count: np.ndarray, n: int, m: int) -> np.ndarray:
     """Signatures (n by m) of n bags given by text number, element hash and count; equal components have probability weighted Jaccard.
 
-    Weights are discretised to units. An element has a Poisson process of points over (weight,
-    position) for each of the dyadic weight intervals [0, 1), [1, 2), [2, 4), ..., which depends on
-    the element alone; a bag sees the points below its weight, and each component keeps the least
-    position among the points that fall to it. An interval that lies across the weight is split by
-    halves down to the unit a point falls in. Points come in rising order, and an element stops
-    when its next one lies beyond all components of its bag, so work is about the size of the bag
-    plus m log m. Bags without elements get infinities.
+    Weights are discretised to units. An element has a hierarchy of Poisson processes of points over
+    (weight, position), one for each of the dyadic weight intervals [0, 1), [1, 2), [2, 4), ...,
+    which depend on the element alone; a bag sees the points below its weight, and each component
+    keeps the least position among the points that fall to it. Of the one interval that lies across
+    the weight, points in units beyond it are passed over (thinned), which leaves a Poisson process
+    on the units below; at most half of an element's points are. Points come in rising order, and
+    an element stops when its next one lies beyond all components of its bag, so work is about the
+    size of the bag plus m log m. Bags without elements get infinities.
     """
     least = np.full((n, m), np.inf)
     flat = least.reshape(-1)
@@ -136,9 +140,10 @@ def jaccard(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray])
     return both / max(int(a[1].sum()) + int(b[1].sum()) - both, 1)
 
 
-def row_key(doc_id: str, text: str) -> list[Column]:
-    """Two hashes that tell a row by its doc_id and text."""
-    return [F.xxhash64(doc_id, text).alias("k1"), F.xxhash64(F.lit(7), doc_id, F.col(text)).alias("k2")]
+def row_key(*columns: str) -> list[Column]:
+    """k1 and k2: two hashes that tell a row by these columns; nulls count by their place."""
+    parts = [x for c in columns for x in (F.col(c).isNull(), F.col(c))]
+    return [F.xxhash64(*parts).alias("k1"), F.xxhash64(F.lit(7), *parts).alias("k2")]
 
 
 def sign(docs: DataFrame, bands: int = BANDS, rows: int = ROWS, size: int = SHINGLE) -> DataFrame:
@@ -167,31 +172,38 @@ def sign(docs: DataFrame, bands: int = BANDS, rows: int = ROWS, size: int = SHIN
         if held:
             yield batch(held)
 
-    return docs.select(*row_key("doc_id", "text"), F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, SIGNED)
+    return docs.select(*row_key("doc_id", "text"), F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(frugal(run), SIGNED)
 
 
 def verify(pairs: DataFrame, texts: DataFrame, similarity: float = SIMILARITY, size: int = SHINGLE) -> DataFrame:
-    """ca, cb of the pairs a, b whose bags have at least that weighted Jaccard; texts: v, text."""
-    ta, tb = texts.select(F.col("v").alias("a"), F.col("text").alias("ta")), texts.select(F.col("v").alias("b"), F.col("text").alias("tb"))
+    """ca, cb of the pairs a (centre), b (member) whose bags have at least that weighted Jaccard; texts: v, text.
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        recent: OrderedDict[bytes, tuple[np.ndarray, np.ndarray]] = OrderedDict()
-
-        def bag(v: bytes, text: str) -> tuple[np.ndarray, np.ndarray]:
-            if v not in recent:
-                recent[v] = bags([text], size)[1:]
-                if len(recent) > 64:
-                    recent.popitem(last=False)
-            recent.move_to_end(v)
-            return recent[v]
+    The members of a centre are dealt to chunks of about CHUNK; each chunk has the centre's text
+    once, before its members, and goes through a task as a stream.
+    """
+    pairs = stage(pairs, "nd-pairs")
+    chunks = stage(pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / CHUNK).alias("n")).filter("n > 1").select(F.col("a").alias("__a"), "n"), "nd-chunks")
+    dealt = pairs.join(chunks, F.col("a") == F.col("__a"), "left").select("a", "b", "ca", "cb", F.when(F.col("n").isNull(), 0).otherwise(F.pmod(F.xxhash64("b"), F.col("n"))).alias("part"))
+    text = lambda key: texts.select(F.col("v").alias(key), "text")
+    members = dealt.hint("merge").join(text("b"), "b").select("a", "part", F.lit(1).alias("kind"), "ca", "cb", "text")
+    centres = dealt.select("a", "part", "ca").distinct().hint("merge").join(text("a"), "a").select("a", "part", F.lit(0).alias("kind"), "ca", F.col("ca").alias("cb"), "text")
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        centre: tuple[np.ndarray, np.ndarray] | None = None
         for b in batches:
             for k in range(0, b.num_rows, 256):
                 part = b.slice(k, 256)
-                good = [jaccard(bag(x, s), bag(y, t)) >= similarity for x, y, _, _, s, t in zip(*[c.to_pylist() for c in part.columns], strict=True)]
+                doc, h, n = bags(part.column(5).to_pylist(), size)
+                ends = np.searchsorted(doc, np.arange(part.num_rows + 1)).tolist()
+                good = []
+                for kind, i, j in zip(part.column(2).to_pylist(), ends[:-1], ends[1:], strict=True):
+                    if kind == 0:
+                        centre = h[i:j], n[i:j]
+                    good.append(kind == 1 and jaccard(centre, (h[i:j], n[i:j])) >= similarity)
                 yield part.select(["ca", "cb"]).filter(pa.array(good, pa.bool_()))
 
-    return pairs.hint("merge").join(ta, "a").hint("merge").join(tb, "b").select("a", "b", "ca", "cb", "ta", "tb").mapInArrow(run, "ca binary, cb binary")
+    together = members.unionByName(centres).repartition("a", "part").sortWithinPartitions("a", "part", "kind")
+    return together.mapInArrow(frugal(run), "ca binary, cb binary")
 
 
 def elements(text: str, size: int = SHINGLE) -> np.ndarray:
@@ -256,47 +268,61 @@ def compare_blocks(rest: DataFrame, texts: DataFrame, similarity: float, size: i
     return x.groupBy("bucket", "p", "q").applyInArrow(run, "ca binary, cb binary")
 
 
+def relabel(labels: DataFrame, good: DataFrame) -> DataFrame:
+    """labels (v, c) after the components that ca, cb of good connect have become one."""
+    up = components(good.select(F.col("ca").alias("a"), F.col("cb").alias("b"))).select(F.col("v").alias("c"), F.col("c").alias("__up"))
+    return stage(labels.join(up, "c", "left").select("v", F.coalesce("__up", "c").alias("c")), "nd-labels")
+
+
 def links(signed: DataFrame, docs: DataFrame, similarity: float = SIMILARITY, size: int = SHINGLE, rounds: int = ROUNDS) -> DataFrame:
     """v, c: the component of each bag that shares a bucket with another.
 
     In each round the members of a bucket are held against one of them, the one that shares most
-    buckets with others, and what is alike becomes one component. Buckets whose other members are
-    then not all in one component go on with another centre; after ``rounds`` rounds the members
-    that have not been centres are compared in blocks. So every pair of a bucket is either
-    compared or already connected.
+    buckets with others, and what is alike becomes one component. The first round takes the buckets
+    of FIRST bands; from then on only buckets, of all bands, whose members are not all in one
+    component yet. After ``rounds`` more rounds the members that have not been centres are compared
+    in blocks. So every pair of a bucket is either compared or already connected.
     """
     bag = signed.filter(F.col("bag").isNotNull()).groupBy(F.col("bag").alias("v")).agg(F.first("bands").alias("bands"), F.min(F.struct("k1", "k2")).alias("k"))
     bag = stage(bag, "nd-bags")
-    members = bag.select("v", F.explode("bands").alias("bucket"))
-    shared = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).filter(F.col("size") > 1)
-    found = stage(members.join(shared, "bucket"), "nd-members")
-    score = stage(found.groupBy("v").agg(F.sum("size").alias("score")), "nd-scores")
-    open_ = stage(found.join(score, "v").select("bucket", "v", F.col("v").alias("c"), F.struct("score", "v").alias("rank")), "nd-open")
-    keys = score.select("v").join(bag.select("v", "k.k1", "k.k2"), "v")
+    sizes = stage(bag.select(F.explode("bands").alias("bucket")).groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).filter(F.col("size") > 1), "nd-buckets")
+    all_ = bag.select("v", F.explode("bands").alias("bucket"))
+    first = stage(bag.select("v", F.explode(F.slice("bands", 1, FIRST)).alias("bucket")).join(sizes, "bucket"), "nd-members")
+    some = stage(all_.join(sizes, "bucket", "left_semi").groupBy("v").agg(F.lit(1).alias("one")).select("v"), "nd-some")
+    keys = some.join(bag.select("v", "k.k1", "k.k2"), "v")
     src = docs.select(*row_key("doc_id", "text"), "text")
     texts = stage(src.join(keys.hint("merge"), ["k1", "k2"]).select("v", "text").dropDuplicates(["v"]), "nd-texts")
 
-    labels = score.select("v", F.col("v").alias("c"))
+    def ranked_members(found: DataFrame) -> DataFrame:
+        score = stage(found.groupBy("v").agg(F.sum("size").alias("score")), "nd-scores")
+        return stage(found.join(score, "v").select("bucket", "v", "c", F.struct("score", "v").alias("rank")), "nd-open")
+
+    def centres(open_: DataFrame) -> DataFrame:
+        return stage(open_.groupBy("bucket").agg(F.max(F.struct("rank", "c")).alias("r")).select("bucket", F.col("r.rank.v").alias("a"), F.col("r.c").alias("ca")), "nd-centres")
+
+    def held_against(open_: DataFrame, centre: DataFrame) -> DataFrame:
+        pairs = open_.select("bucket", F.col("v").alias("b"), F.col("c").alias("cb")).join(centre, "bucket").filter(F.col("ca") != F.col("cb"))
+        return verify(pairs.select("a", "b", "ca", "cb").distinct(), texts, similarity, size)
+
+    labels = some.select("v", F.col("v").alias("c"))
+    open_ = ranked_members(first.withColumn("c", F.col("v")))
+    labels = relabel(labels, held_against(open_, centres(open_)))
+    members = bag.select("v", "bands").join(labels, "v").select("v", "c", F.explode("bands").alias("bucket"))
+    unlike = stage(members.groupBy("bucket").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.count(F.lit(1)).alias("size")).filter(F.col("lo") != F.col("hi")).select("bucket", "size"), "nd-unlike")
+    open_ = ranked_members(members.join(unlike, "bucket"))
     for k in range(rounds + 1):
-        if k < rounds:
-            centre = open_.groupBy("bucket").agg(F.max(F.struct("rank", "c")).alias("r")).select("bucket", F.col("r.rank.v").alias("a"), F.col("r.c").alias("ca"))
-            pairs = open_.select("bucket", F.col("v").alias("b"), F.col("c").alias("cb")).join(centre, "bucket").filter(F.col("ca") != F.col("cb"))
-            swap = F.col("a") > F.col("b")
-            pairs = pairs.select(F.when(swap, F.struct(F.col("b").alias("a"), F.col("a").alias("b"), F.col("cb").alias("ca"), F.col("ca").alias("cb"))).otherwise(F.struct("a", "b", "ca", "cb")).alias("p")).select("p.*").distinct()
-            good = verify(pairs, texts, similarity, size)
-        else:
-            good = compare_blocks(open_.select("bucket", "v", "c"), texts, similarity, size)
-        up = components(good.select(F.col("ca").alias("a"), F.col("cb").alias("b"))).select(F.col("v").alias("c"), F.col("c").alias("__up"))
-        labels = stage(labels.join(up, "c", "left").select("v", F.coalesce("__up", "c").alias("c")), "nd-labels")
+        if not open_.limit(1).count():
+            break
         if k == rounds:
+            labels = relabel(labels, compare_blocks(open_.select("bucket", "v", "c"), texts, similarity, size))
             break
+        centre = centres(open_)
+        labels = relabel(labels, held_against(open_, centre))
         # what is left: without the centres, in buckets of several components
         left = open_.join(centre.select("bucket", F.col("a").alias("v")), ["bucket", "v"], "left_anti").drop("c").join(labels, "v")
         left = stage(left, "nd-left")
-        unlike = left.groupBy("bucket").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).filter(F.col("lo") != F.col("hi")).select("bucket")
-        open_ = stage(left.join(unlike, "bucket"), "nd-open")
-        if not open_.limit(1).count():
-            break
+        more = stage(left.groupBy("bucket").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).filter(F.col("lo") != F.col("hi")).select("bucket"), "nd-unlike")
+        open_ = stage(left.join(more, "bucket"), "nd-open")
     return labels
 
 
@@ -315,7 +341,8 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, bands: int
     lone = signed.filter(F.col("bag").isNull()).select("k1", "k2", "doc_id", F.col("doc_id").alias("class_id"), F.lit(None).cast("binary").alias("class_key"))
     rest = signed.filter(F.col("bag").isNotNull()).select("k1", "k2", "doc_id", F.col("bag").alias("v"))
     rest = rest.join(labels, "v", "left").select("k1", "k2", "doc_id", F.coalesce("c", "v").alias("c"))
-    ids = rest.groupBy("c").agg(F.min("doc_id").alias("class_id"))
+    rest = stage(rest, "nd-classes")
+    ids = stage(rest.groupBy("c").agg(F.min("doc_id").alias("class_id")), "nd-ids")  # a table of its own, so the join can split a large class
     return rest.join(ids, "c").select("k1", "k2", "doc_id", "class_id", F.col("c").alias("class_key")).unionByName(lone)
 
 

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from loomsift.llm.common import stage, table
+from loomsift.llm.common import frugal, stage, table
 
 #: Neighbours of a query, and which ids are queries.
 NEAREST = 20
@@ -140,7 +140,7 @@ def search(vectors: DataFrame, k: int = NEAREST, every: int = EVERY, coverage: f
             cell = nearest(v[:, :half], c1) * len(c2) + nearest(v[:, half:], c2)
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(cell, pa.int32())], names=["vec_id", "embedding", "cell"])
 
-    index = stage(x.select("vec_id", "embedding").mapInArrow(assign, "vec_id long, embedding array<double>, cell int"), "mi-index")
+    index = stage(x.select("vec_id", "embedding").mapInArrow(frugal(assign), "vec_id long, embedding array<double>, cell int"), "mi-index")
     counts = np.zeros(len(c1) * len(c2), np.int64)
     for r in index.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).collect():
         counts[r["cell"]] = r["n"]
@@ -212,8 +212,8 @@ def search(vectors: DataFrame, k: int = NEAREST, every: int = EVERY, coverage: f
         cols = [np.concatenate(c) for c in zip(*found, strict=True)] if found else [np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0)]
         return pa.table({"query_id": pa.array(cols[0], pa.int64()), "vec_id": pa.array(cols[1], pa.int64()), "score": pa.array(cols[2], pa.float64())})
 
-    base = index.mapInArrow(place, "block long, chunk long, vec_id long, embedding array<double>, cell int")
-    asked = index.filter(chosen).select("vec_id", "embedding").mapInArrow(plan, "block long, chunk long, query_id long, query array<double>, cells array<int>")
+    base = index.mapInArrow(frugal(place), "block long, chunk long, vec_id long, embedding array<double>, cell int")
+    asked = index.filter(chosen).select("vec_id", "embedding").mapInArrow(frugal(plan), "block long, chunk long, query_id long, query array<double>, cells array<int>")
     part = base.groupBy("block", "chunk").cogroup(asked.groupBy("block", "chunk")).applyInArrow(score, "query_id long, vec_id long, score double")
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return part.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from loomsift.llm.common import positional, table
+from loomsift.llm.common import frugal, positional, table
 
 #: Samples a second of the stored form.
 RATE = 8000
@@ -233,7 +233,7 @@ def with_media(df: DataFrame, text: str = "text", media: str = "media", n_bytes:
                     names=schema.names,
                 )
 
-    return positional(src).mapInArrow(run, schema)
+    return positional(src).mapInArrow(frugal(run), schema)
 
 
 def read_media(df: DataFrame, media: str = "media") -> DataFrame:
@@ -262,7 +262,7 @@ def read_media(df: DataFrame, media: str = "media") -> DataFrame:
             cols = list(zip(*[one(x.as_py()) for x in b.column(len(keep))], strict=True)) or [()] * len(kinds)
             yield pa.RecordBatch.from_arrays([*b.columns[: len(keep)], *[pa.array(c, k) for c, k in zip(cols, kinds, strict=True)]], names=schema.names)
 
-    return positional(df.select(*[F.col(f"`{c}`") for c in keep], F.col(f"`{media}`"))).mapInArrow(run, schema)
+    return positional(df.select(*[F.col(f"`{c}`") for c in keep], F.col(f"`{media}`"))).mapInArrow(frugal(run), schema)
 
 
 def op1_ogg_media(spark: SparkSession, sf_dir: str) -> DataFrame:

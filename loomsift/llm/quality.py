@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from loomsift.llm.common import positional, stage, table
+from loomsift.llm.common import frugal, positional, stage, table
 
 BAD, NONE, GOOD = 0, 1, 2
 SAID = np.array([1.0, 0.0, 1.0])  # votes that count
@@ -196,6 +196,15 @@ def features(text: str, f: Facts) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate([at, more]), np.concatenate([value, np.full(len(more), 0.5)])
 
 
+def packed(at: np.ndarray, value: np.ndarray) -> tuple[bytes, bytes]:
+    """Features in six bytes each, so that a sample of long texts still fits the driver: 25 kB a document at most."""
+    return at.astype(np.uint16).tobytes(), value.astype(np.float32).tobytes()
+
+
+def unpacked(at: bytes, value: bytes) -> tuple[np.ndarray, np.ndarray]:
+    return np.frombuffer(at, np.uint16), np.frombuffer(value, np.float32)
+
+
 def fit_scorer(rows: list[tuple[np.ndarray, np.ndarray, float]]) -> np.ndarray:
     """Weights (the last one is the constant) of logistic regression on soft labels, by stochastic gradient with falling steps."""
     w = np.zeros(DIMS + 1)
@@ -223,7 +232,7 @@ def label_votes(docs: DataFrame) -> DataFrame:
         for b in batches:
             yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array([pattern(facts(t.as_py() or "")) for t in b.column(len(keep))], pa.int64())], names=schema.names)
 
-    return positional(docs.select(*[F.col(f"`{c}`") for c in keep], "text")).mapInArrow(run, schema)
+    return positional(docs.select(*[F.col(f"`{c}`") for c in keep], "text")).mapInArrow(frugal(run), schema)
 
 
 def train(docs: DataFrame, sample: int = SAMPLE) -> tuple[LabelModel, np.ndarray]:
@@ -245,19 +254,21 @@ def train(docs: DataFrame, sample: int = SAMPLE) -> tuple[LabelModel, np.ndarray
     low = keys.filter("bad").orderBy("key").limit(half)
     rest = keys.filter("not bad").orderBy("key").limit(sample - half)
     chosen = F.broadcast(low.unionByName(rest).select("key").distinct())  # of ``sample`` rows at most
-    schema = "key long, pattern long, at array<long>, value array<double>"
+    schema = "key long, pattern long, at binary, value binary"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            texts = [(t or "", facts(t or "")) for t in b.column(1).to_pylist()]
-            rows = [(k, pattern(f), *features(t, f)) for k, (t, f) in zip(b.column(0).to_pylist(), texts, strict=True)]
-            kinds = (pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.float64()))
+            rows = []
+            for k, t in zip(b.column(0).to_pylist(), b.column(1), strict=True):
+                f = facts(t := t.as_py() or "")
+                rows.append((k, pattern(f), *packed(*features(t, f))))
+            kinds = (pa.int64(), pa.int64(), pa.binary(), pa.binary())
             yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(kinds)], names=["key", "pattern", "at", "value"])
 
     picked = docs.select(F.xxhash64("text").alias("key"), "text").join(chosen, "key")
-    one_each = picked.mapInArrow(run, schema).groupBy("key").agg(F.first(F.struct("pattern", "at", "value")).alias("r"))
+    one_each = picked.mapInArrow(frugal(run), schema).groupBy("key").agg(F.first(F.struct("pattern", "at", "value")).alias("r"))
     rows = sorted((r["key"], r["r"]) for r in one_each.collect())
-    return model, fit_scorer([(np.array(r["at"], np.int64), np.array(r["value"]), posterior[r["pattern"]]) for _, r in rows])
+    return model, fit_scorer([(*unpacked(r["at"], r["value"]), posterior[r["pattern"]]) for _, r in rows])
 
 
 def score(docs: DataFrame, model: LabelModel, weights: np.ndarray) -> DataFrame:
@@ -276,7 +287,7 @@ def score(docs: DataFrame, model: LabelModel, weights: np.ndarray) -> DataFrame:
                 post = model.posterior(unpack(np.array([pattern(f) for _, f in texts], np.int64))) if texts else np.empty(0)
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(post, pa.float64()), pa.array(1 / (1 + np.exp(-np.clip(z, -30, 30))), pa.float64())], names=schema.names)
 
-    return positional(docs.select(*[F.col(f"`{c}`") for c in keep])).mapInArrow(run, schema)
+    return positional(docs.select(*[F.col(f"`{c}`") for c in keep])).mapInArrow(frugal(run), schema)
 
 
 def classify(docs: DataFrame, sample: int = SAMPLE, threshold: float = THRESHOLD) -> DataFrame:

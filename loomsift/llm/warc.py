@@ -16,7 +16,7 @@ from pyarrow import fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomsift.llm.common import fresh_path, stage, table
+from loomsift.llm.common import fresh_path, frugal, stage, table
 from loomsift.sources.warc import BREAK, GZIP_MAGIC, WarcError, format_record, gzip_member, parse_head
 
 #: Payloads of at least so many bytes are stored once.
@@ -120,7 +120,7 @@ def write_archives(pages: DataFrame, folder: str, level: int = 6, target: int =
                     row = next(rows, None)
             yield pa.RecordBatch.from_pydict({"path": [path], "bytes": [size], "records": [n]}, pa.schema([("path", pa.string()), ("bytes", pa.int64()), ("records", pa.int64())]))
 
-    return stage(pages.select("page_id", "url", "html", "keeper").mapInArrow(run, MANIFEST), "warc-manifest")
+    return stage(pages.select("page_id", "url", "html", "keeper").mapInArrow(frugal(run), MANIFEST), "warc-manifest")
 
 
 class Window:
@@ -253,7 +253,7 @@ def read_ranges(ranges: DataFrame) -> DataFrame:
                 if rows:
                     yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names=names)
 
-    return ranges.mapInArrow(run, RECORDS)
+    return ranges.mapInArrow(frugal(run), RECORDS)
 
 
 def read_files(files: DataFrame, size: int = SPLIT) -> DataFrame:
