@@ -27,18 +27,19 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each class, the one of the least doc_id; of equal rows, one. Documents without words all stay."""
+    """One document of each class, the one of the least doc_id; of rows that are equal in it and the text, the least. Documents without words all stay."""
     classes = near_duplicates(docs.select("doc_id", "text"))
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "k1", "k2")).alias("m")
     kept = classes.filter(F.col("class_key").isNotNull()).groupBy("class_key").agg(first).select("m.k1", "m.k2")
     keyed = docs.select(*COLUMNS, *row_key("doc_id", "text"))
     wordless = F.coalesce(~F.col("text").rlike(r"\S"), F.lit(True))
-    return keyed.filter(~wordless).join(kept.hint("merge"), ["k1", "k2"]).dropDuplicates(["k1", "k2"]).select(*COLUMNS).unionByName(docs.filter(wordless).select(*COLUMNS))
+    rows = keyed.filter(~wordless).join(kept.hint("merge"), ["k1", "k2"]).groupBy("k1", "k2").agg(F.first("text").alias("text"), F.min(F.struct("doc_id", "lang", "source", "n_chars")).alias("r"))
+    return rows.select("r.doc_id", "text", "r.lang", "r.source", "r.n_chars").unionByName(docs.filter(wordless).select(*COLUMNS))
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document as often as the mix takes it; equal rows together as often as it takes all of them."""
-    keyed = docs.select(*COLUMNS, *row_key("doc_id", "text"))
+    """Each document as often as the mix takes it; rows that are equal in all columns together as often as it takes all of them."""
+    keyed = docs.select(*COLUMNS, *row_key(*COLUMNS))
     rows = stage(word_counts(keyed, "k1", "k2"), "mix-words")
     taken = mix(rows, ["k1", "k2"]).groupBy("k1", "k2").agg(F.sum("copies").cast("int").alias("__copies")).filter("__copies > 0")
     out = keyed.join(taken.hint("merge"), ["k1", "k2"]).dropDuplicates(["k1", "k2"])
