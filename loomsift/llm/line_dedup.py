@@ -113,11 +113,13 @@ def repeated_spans(docs: DataFrame, least: int = LEAST) -> DataFrame:
     prints = stage(fingerprints(docs, least), "line-prints")
     # a document given twice has each position twice; the count must not see that as repetition
     places = prints.groupBy("fp").agg(F.min(F.struct("doc_id", "key", "pos")).alias("lo"), F.max(F.struct("doc_id", "key", "pos")).alias("hi"))
-    twice = places.filter(~F.col("lo").eqNullSafe(F.col("hi"))).select(F.col("fp").alias("__fp"))
+    # what is counted by a key is a table of its own, so that a join on it can split a very frequent one
+    twice = stage(places.filter(~F.col("lo").eqNullSafe(F.col("hi"))).select(F.col("fp").alias("__fp")), "line-twice")
     found = prints.join(twice, prints["fp"] == twice["__fp"], "left_semi").select("doc_id", "key", F.explode("windows").alias("w"))
-    found = found.select("doc_id", "key", F.col("w.h").alias("h"), F.col("w.s").alias("s"), F.col("w.e").alias("e"))
+    found = stage(found.select("doc_id", "key", F.col("w.h").alias("h"), F.col("w.s").alias("s"), F.col("w.e").alias("e")), "line-windows")
     place = F.struct("doc_id", "key", "s")
     first = found.groupBy("h").agg(F.min(place).alias("lo"), F.max(place).alias("hi")).filter(~F.col("lo").eqNullSafe(F.col("hi"))).select(F.col("h").alias("__h"), "lo")
+    first = stage(first, "line-first")
     later = found.join(first, found["h"] == first["__h"]).filter(~place.eqNullSafe(F.col("lo")))
     return stage(later.groupBy("doc_id", "key").agg(F.collect_set(F.struct("s", "e")).alias("spans")), "line-spans")
 

@@ -21,10 +21,10 @@ BANDS = 40
 ROWS = 6
 #: Words of the documents that are signed together.
 BATCH_WORDS = 200_000
-#: Bands whose buckets are gone through first; most of what is alike is then connected, and the buckets of all bands are the fewer.
-FIRST = 8
-#: Members of a bucket's centre that a task compares with it, about.
-CHUNK = 4096
+#: Bands that are gone through first; most of what is alike is then connected, and the open buckets of all bands are the fewer.
+FIRST = 6
+#: Members that a centre's text is sent along with, about.
+CHUNK = 512
 #: Rounds in which the members of a bucket are held against one of them, before those still open are compared in blocks.
 ROUNDS = 2
 #: Members and characters of a block.
@@ -277,11 +277,12 @@ def relabel(labels: DataFrame, good: DataFrame) -> DataFrame:
 def links(signed: DataFrame, docs: DataFrame, similarity: float = SIMILARITY, size: int = SHINGLE, rounds: int = ROUNDS) -> DataFrame:
     """v, c: the component of each bag that shares a bucket with another.
 
-    In each round the members of a bucket are held against one of them, the one that shares most
-    buckets with others, and what is alike becomes one component. The first round takes the buckets
-    of FIRST bands; from then on only buckets, of all bands, whose members are not all in one
-    component yet. After ``rounds`` more rounds the members that have not been centres are compared
-    in blocks. So every pair of a bucket is either compared or already connected.
+    At first each bag is held against one other: of its buckets in FIRST bands it takes the
+    largest, and there the member that shares most buckets with others, the centre; what is alike
+    becomes one component. From then on come only buckets, of all bands, whose members are not all
+    in one component yet. In each of ``rounds`` rounds the members of a bucket are held against its
+    centre, and those that have not been centres after that are compared in blocks. So every pair of
+    a bucket is either compared or already connected.
     """
     bag = signed.filter(F.col("bag").isNotNull()).groupBy(F.col("bag").alias("v")).agg(F.first("bands").alias("bands"), F.min(F.struct("k1", "k2")).alias("k"))
     bag = stage(bag, "nd-bags")
@@ -293,23 +294,27 @@ def links(signed: DataFrame, docs: DataFrame, similarity: float = SIMILARITY, si
     src = docs.select(*row_key("doc_id", "text"), "text")
     texts = stage(src.join(keys.hint("merge"), ["k1", "k2"]).select("v", "text").dropDuplicates(["v"]), "nd-texts")
 
-    def ranked_members(found: DataFrame) -> DataFrame:
-        score = stage(found.groupBy("v").agg(F.sum("size").alias("score")), "nd-scores")
+    def scored(found: DataFrame) -> DataFrame:
+        return stage(found.groupBy("v").agg(F.sum("size").alias("score"), F.max(F.struct("size", "bucket")).alias("largest")), "nd-scores")
+
+    def ranked_members(found: DataFrame, score: DataFrame) -> DataFrame:
         return stage(found.join(score, "v").select("bucket", "v", "c", F.struct("score", "v").alias("rank")), "nd-open")
 
     def centres(open_: DataFrame) -> DataFrame:
         return stage(open_.groupBy("bucket").agg(F.max(F.struct("rank", "c")).alias("r")).select("bucket", F.col("r.rank.v").alias("a"), F.col("r.c").alias("ca")), "nd-centres")
 
-    def held_against(open_: DataFrame, centre: DataFrame) -> DataFrame:
-        pairs = open_.select("bucket", F.col("v").alias("b"), F.col("c").alias("cb")).join(centre, "bucket").filter(F.col("ca") != F.col("cb"))
+    def held_against(members: DataFrame, centre: DataFrame) -> DataFrame:
+        pairs = members.select("bucket", F.col("v").alias("b"), F.col("c").alias("cb")).join(centre, "bucket").filter(F.col("ca") != F.col("cb"))
         return verify(pairs.select("a", "b", "ca", "cb").distinct(), texts, similarity, size)
 
     labels = some.select("v", F.col("v").alias("c"))
-    open_ = ranked_members(first.withColumn("c", F.col("v")))
-    labels = relabel(labels, held_against(open_, centres(open_)))
+    first = first.withColumn("c", F.col("v"))
+    score = scored(first)
+    labels = relabel(labels, held_against(score.select("largest.bucket", "v", F.col("v").alias("c")), centres(ranked_members(first, score))))
     members = bag.select("v", "bands").join(labels, "v").select("v", "c", F.explode("bands").alias("bucket"))
     unlike = stage(members.groupBy("bucket").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.count(F.lit(1)).alias("size")).filter(F.col("lo") != F.col("hi")).select("bucket", "size"), "nd-unlike")
-    open_ = ranked_members(members.join(unlike, "bucket"))
+    found = members.join(unlike, "bucket")
+    open_ = ranked_members(found, scored(found))
     for k in range(rounds + 1):
         if not open_.limit(1).count():
             break
