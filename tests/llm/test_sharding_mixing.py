@@ -1,8 +1,10 @@
+import math
 import random
 import re
 import zlib
 from collections import Counter, defaultdict
 
+import xxhash
 from pyspark.sql import functions as F
 
 from loomsift.llm import mixing, sharding
@@ -31,11 +33,42 @@ def test_weights_move_rows_only_where_they_change(spark):
     keys = spark.range(5000).select(F.col("id").alias("k"))
     a = {r["k"]: r["shard"] for r in sharding.assign(keys, "k", tree).collect()}
     b = {r["k"]: r["shard"] for r in sharding.assign(keys, "k", heavy).collect()}
-    assert all(b[k] in (a[k], 5) for k in a)
+    region, rack = {s.shard: s.region for s in tree}, {s.shard: s.rack for s in tree}
+    moved = [(a[k], b[k]) for k in a if a[k] != b[k]]
+    for x, y in moved:  # into the changed region, or in it into the changed rack, or in that into the changed shard
+        assert region[y] == region[5] if region[x] != region[y] else rack[y] == rack[5] if rack[x] != rack[y] else y == 5
+    assert 0 < len(moved) < 0.1 * len(a)
     share = Counter(b.values())[5] / 5000
     assert abs(share - 2 / 25) < 0.02
 
 
+def unit_draw(key, name, weight):
+    """Spark's xxhash64(key, name), and an exponential draw from it."""
+    seed = xxhash.xxh64_intdigest(key.to_bytes(8, "little", signed=True), 42)
+    return -math.log(((xxhash.xxh64_intdigest(name.encode(), seed) >> 11) + 0.5) * 2.0**-53) / weight
+
+
+def test_descent_against_brute_force(spark):
+    rng = random.Random(4)
+    tree = [sharding.Shard(i, i % 5, i % 5 % 3, rng.choice((0.5, 1.0, 3.0))) for i in range(17)]
+    added = [sharding.Shard(17, 2, 2, 2.0), sharding.Shard(18, 0, 0, 1.0)]
+    rows = sharding.assign(spark.range(3000).select(F.col("id").alias("k")), "k", tree, added=added).collect()
+    for r in rows:
+        left, wins = tree, []
+        for level, name in (("region", "region-{0.region}"), ("rack", "rack-{0.region}-{0.rack}"), ("shard", "shard-{0.shard}")):
+            nodes = defaultdict(list)
+            for s in left:
+                nodes[getattr(s, level)].append(s)
+            d, at = min((unit_draw(r["k"], name.format(v[0]), sum(s.weight for s in v)), n) for n, v in nodes.items())
+            left = nodes[at]
+            wins.append(d)
+        assert r["shard"] == left[0].shard
+        best = min([(wins[0], left[0].shard), *((unit_draw(r["k"], f"shard-{s.shard}", s.weight), s.shard) for s in added)])
+        assert r["grown_shard"] == best[1]
+    for s in tree:
+        assert abs(sum(r["shard"] == s.shard for r in rows) / 3000 - s.weight / sum(x.weight for x in tree)) < 0.03
+
+
 def test_odd_rows_in_shards(spark):
     docs = documents(spark)
     rows = sharding.shard_documents(clashing(docs)).collect()
