@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import ctypes
 import gc
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from loomsift.storage import fresh_path, stage, table
 
-__all__ = ["fresh_path", "frugal", "positional", "ranked", "stage", "table"]
+__all__ = ["fresh_path", "frugal", "portions", "positional", "ranked", "stage", "table"]
 
 #: Sub-buckets that the rows of one group are spread over to be ranked.
 SPREAD = 256
@@ -43,6 +43,18 @@ def release() -> None:
         pass
 
 
+def portions(sizes: Iterable[int], most: int, each: int = 64) -> Iterator[int]:
+    """How many of these rows come next, again and again, so that with ``each`` for every row they have about ``most``, or are one row."""
+    n = total = 0
+    for size in sizes:
+        if n and total + size + each > most:
+            yield n
+            n = total = 0
+        n, total = n + 1, total + size + each
+    if n:
+        yield n
+
+
 def positional(df: DataFrame) -> DataFrame:
     """The same columns under plain names, which mapInArrow needs; its function takes them by position."""
     return df.toDF(*[f"c{i}" for i in range(len(df.columns))])

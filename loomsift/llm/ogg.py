@@ -1,9 +1,10 @@
 """Ogg media columns: write 8-bit samples into multiplexed logical streams, verify and read them back.
 
 Layout of what is written, one container for each payload: two logical streams (serials from the
-payload's CRC), each begun by an ``OggPCM`` style header packet and a comment packet; data packets
-of up to ``PACKET`` samples go to the streams by turns; a page's granule position is the number of
-samples of the whole recording that have been written when the last packet ended on it is played.
+payload's CRC), each begun by an ``OggPCM`` style header packet and a comment packet that says which
+stream of how many it is; data packets of ``PACKET`` samples, the last one shorter, go to the streams
+by turns. Pages hold several packets, and packets go on over pages. A page's granule position is the
+number of samples of its logical stream up to the end of the last packet that ends on it.
 """
 
 from __future__ import annotations
@@ -15,11 +16,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from loomsift.llm.common import frugal, positional, table
+from loomsift.llm.common import frugal, portions, positional, table
 
 #: Samples a second of the stored form.
 RATE = 8000
@@ -29,6 +31,10 @@ PACKET = 4096
 BLOCK = 64
 #: Logical streams that the packets are dealt to.
 STREAMS = 2
+#: Lacing values of a page (of up to 255).
+SEGMENTS = 40
+#: Bytes of payloads that are written together, about; a longer text is a batch of its own, in memory with its container.
+AT_ONCE = 4 << 20
 NO_GRANULE = -1
 # Fixed values of the container format (RFC 3533).
 CAPTURE, CONTINUED, FIRST, LAST, LACE, MAX_SEGMENTS = b"OggS", 1, 2, 4, 255, 255
@@ -71,35 +77,39 @@ class StreamWriter:
         crc = page_crc(head + body)
         return head[:22] + crc.to_bytes(4, "little") + head[26:] + body
 
-    def packet(self, data: bytes, granule: int, first: bool = False, last: bool = False) -> list[bytes]:
-        """The pages of a packet that begins a page; it may take several."""
-        laces, out, at = lacing(len(data)), [], 0
-        for i in range(0, len(laces), MAX_SEGMENTS):
-            part, done = laces[i : i + MAX_SEGMENTS], i + MAX_SEGMENTS >= len(laces)
+    def packets(self, packets: list[bytes], ends: list[int], segments: int = SEGMENTS, first: bool = False, last: bool = False) -> list[bytes]:
+        """The pages of packets that begin a page and end one, with each packet's end in samples; without packets, one empty page."""
+        laces, body, out, at = b"".join(lacing(len(p)) for p in packets), b"".join(packets), [], 0
+        stops, stop = {}, 0  # the lacing value after each packet's last one
+        for p, end in zip(packets, ends, strict=True):
+            stop += len(p) // LACE + 1
+            stops[stop] = end
+        for i in range(0, max(len(laces), 1), segments):
+            part = laces[i : i + segments]
             size = sum(part)
-            flags = (CONTINUED if i else 0) | (FIRST if first and not i else 0) | (LAST if last and done else 0)
-            out.append(self.page(flags, granule if done else NO_GRANULE, part, data[at : at + size]))
+            ended = max((j for j in range(i + 1, i + len(part) + 1) if j in stops), default=None)
+            flags = (CONTINUED if i and i not in stops else 0) | (FIRST if first and not i else 0) | (LAST if last and i + segments >= len(laces) else 0)
+            out.append(self.page(flags, 0 if not laces else NO_GRANULE if ended is None else stops[ended], part, body[at : at + size]))
             at += size
         return out
 
 
-def encode(payload: bytes, rate: int = RATE, packet: int = PACKET, streams: int = STREAMS) -> bytes:
+def encode(payload: bytes, rate: int = RATE, packet: int = PACKET, streams: int = STREAMS, segments: int = SEGMENTS) -> bytes:
     """The payload as unsigned 8-bit samples in one physical stream of several logical ones."""
     base = zlib.crc32(payload)
     writers = [StreamWriter((base + k) & 0xFFFFFFFF) for k in range(streams)]
     out: list[bytes] = []
     for w in writers:
-        out += w.packet(PCM_HEAD.pack(PCM_MAGIC, 0, 0, PCM_U8, rate, 8, 1, packet, 1), 0, first=True)
+        out += w.packets([PCM_HEAD.pack(PCM_MAGIC, 0, 0, PCM_U8, rate, 8, 1, packet, 1)], [0], first=True)
     for k, w in enumerate(writers):
-        out += w.packet(COMMENT_MAGIC + b"STREAM=%d/%d" % (k, streams), 0)
-    cuts = list(range(0, len(payload), packet))
-    last = {i % streams: i for i in range(len(cuts))}
-    for i, at in enumerate(cuts):
-        data = payload[at : at + packet]
-        out += writers[i % streams].packet(data, at + len(data), last=last[i % streams] == i)
+        out += w.packets([COMMENT_MAGIC + b"STREAM=%d/%d" % (k, streams)], [0])
+    data: list[list[bytes]] = []
     for k, w in enumerate(writers):
-        if k not in last:
-            out.append(w.page(LAST, 0, b"", b""))
+        mine = [payload[at : at + packet] for at in range(k * packet, len(payload), streams * packet)]
+        ends = np.cumsum([len(p) for p in mine]).tolist()
+        data.append(w.packets(mine, ends, segments, last=True))
+    for i in range(max(map(len, data))):  # pages of the streams by turns
+        out += [pages_[i] for pages_ in data if i < len(pages_)]
     return b"".join(out)
 
 
@@ -123,21 +133,28 @@ def pages(media: bytes) -> Iterator[tuple[int, int, int, int, bytes, int]]:
         at = stop
 
 
-def demultiplex(media: bytes) -> dict[int, list[tuple[bytes, int | None]]]:
-    """The packets of each logical stream by serial, with the granule position of those that a page gives one.
+def demultiplex(media: bytes) -> dict[int, list[tuple[bytes, int]]]:
+    """The packets of each logical stream by serial, with the stream's granule position at the end of each.
 
     Packets are put together from their lacing values, over pages where a packet is continued. A
-    granule position belongs to the last packet that ends on its page. Page sequence numbers must
-    have no gap, and continued flags must agree with what the page before left open.
+    page's granule position is the end of the last packet that ends on it; those before it end
+    earlier by the samples (bytes) that follow them. Page sequence numbers must have no gap,
+    continued flags must agree with what the page before left open, a stream must end with a page
+    that says so, and nothing of it may come after that.
     """
-    out: dict[int, list[tuple[bytes, int | None]]] = {}
+    out: dict[int, list[tuple[bytes, int]]] = {}
     left: dict[int, bytearray | None] = {}
     due: dict[int, int] = {}
+    over: set[int] = set()
     for flags, granule, serial, sequence, laces, at in pages(media):
         if serial not in out:
             if not flags & FIRST:
                 raise OggError(f"stream {serial} lacks its first page")
             out[serial], left[serial], due[serial] = [], None, 0
+        elif flags & FIRST:
+            raise OggError(f"stream {serial} begins twice")
+        if serial in over:
+            raise OggError(f"stream {serial} has a page after its last one")
         if sequence != due[serial]:
             raise OggError(f"stream {serial} lacks page {due[serial]}")
         due[serial] += 1
@@ -145,9 +162,7 @@ def demultiplex(media: bytes) -> dict[int, list[tuple[bytes, int | None]]]:
         if bool(flags & CONTINUED) != (part is not None):
             raise OggError(f"page {sequence} of stream {serial} does not continue the one before")
         part = bytearray() if part is None else part
-        packets, open_ = out[serial], bool(flags & CONTINUED)
-        ended = None
-        run = 0
+        open_, ended, run = bool(flags & CONTINUED), [], 0
         for lace in laces:
             run += lace
             open_ = lace == LACE
@@ -155,44 +170,59 @@ def demultiplex(media: bytes) -> dict[int, list[tuple[bytes, int | None]]]:
                 part += media[at : at + run]
                 at += run
                 run = 0
-                packets.append((bytes(part), None))
-                ended, part = len(packets) - 1, bytearray()
+                ended.append(bytes(part))
+                part = bytearray()
         if run or open_:
             part += media[at : at + run]
         left[serial] = part if open_ else None
-        if ended is not None and granule != NO_GRANULE:
-            packets[ended] = (packets[ended][0], granule)
+        if ended and granule == NO_GRANULE:
+            raise OggError(f"packets end on page {sequence} of stream {serial}, which has no granule position")
+        end, timed = granule, []
+        for k, packet in enumerate(reversed(ended)):
+            timed.append((packet, end))
+            end -= 0 if granule == 0 else len(packet)  # headers take no time
+        out[serial] += reversed(timed)
+        if flags & LAST:
+            over.add(serial)
     if any(x is not None for x in left.values()):
         raise OggError("a stream ends within a packet")
+    if missing := out.keys() - over:
+        raise OggError(f"stream {min(missing)} has no last page")
     return out
 
 
 def decode(media: bytes) -> tuple[bytes, dict[str, int]]:
     """The samples in order of time, and counts: streams, packets, samples a second and microseconds.
 
-    A packet plays from its granule position less its samples; packets of all streams are ordered
-    by that time and must follow each other without a gap.
+    A packet plays from its granule position less its samples. In a stream the packets must follow
+    each other without a gap; its comment says which turns it has, and so what comes between them.
     """
-    timed: list[tuple[int, bytes]] = []
-    rate = 0
+    turns: list[tuple[int, int, bytes]] = []
+    rate, seen, total = 0, [], None
     streams = demultiplex(media)
     for serial, packets in streams.items():
-        if len(packets) < 2 or not packets[0][0].startswith(PCM_MAGIC) or not packets[1][0].startswith(COMMENT_MAGIC):
+        if len(packets) < 2 or not packets[0][0].startswith(PCM_MAGIC) or not packets[1][0].startswith(COMMENT_MAGIC + b"STREAM="):
             raise OggError(f"stream {serial} lacks its headers")
+        if len(packets[0][0]) != PCM_HEAD.size:
+            raise OggError(f"stream {serial} has a header of the wrong size")
         kind, rate = PCM_HEAD.unpack(packets[0][0])[3:5]
-        if kind != PCM_U8:
-            raise OggError(f"stream {serial} is not of unsigned 8-bit samples")
-        for data, granule in packets[2:]:
-            if granule is None:
-                raise OggError(f"a packet of stream {serial} has no granule position")
-            timed.append((granule - len(data), data))
-    timed.sort(key=lambda x: x[0])
-    at = 0
-    for start, data in timed:
-        if start != at:
-            raise OggError(f"the packet at sample {start} does not follow sample {at}")
-        at += len(data)
-    return b"".join(d for _, d in timed), {"streams": len(streams), "packets": len(timed), "rate": rate, "us": at * 1_000_000 // max(rate, 1)}
+        size = PCM_HEAD.unpack(packets[0][0])[7]
+        turn, _, count = packets[1][0][len(COMMENT_MAGIC) + 7 :].partition(b"/")
+        if kind != PCM_U8 or not size or not turn.isdigit() or not count.isdigit():
+            raise OggError(f"stream {serial} is not of unsigned 8-bit samples in turns")
+        seen.append(int(turn))
+        total = int(count) if total in (None, int(count)) else -1
+        at = 0
+        for data, end in packets[2:]:
+            if end - len(data) != at or at % size:
+                raise OggError(f"the packet at sample {end - len(data)} of stream {serial} does not follow sample {at}")
+            turns.append((at // size, int(turn), data))
+            at = end
+    if sorted(seen) != list(range(total or 0)):
+        raise OggError("a logical stream is missing")
+    turns.sort(key=lambda x: x[:2])
+    samples = b"".join(d for *_, d in turns)
+    return samples, {"streams": len(streams), "packets": len(turns), "rate": rate, "us": len(samples) * 1_000_000 // max(rate, 1)}
 
 
 def features(samples: bytes, facts: dict[str, int]) -> str:
@@ -216,8 +246,8 @@ def padded(text: str | None) -> tuple[bytes, int]:
 def with_media(df: DataFrame, text: str = "text", media: str = "media", n_bytes: str = "n_bytes") -> DataFrame:
     """Add each text's Ogg container and its unpadded bytes.
 
-    Null and empty texts give a container of BLOCK zero samples. Equal texts give equal bytes.
-    Other columns pass through; columns named as the outputs are replaced.
+    Null and empty texts give a container of BLOCK zero samples. Equal texts give equal bytes. A text
+    of any length is written whole; it and its container are in memory at once. Other columns pass through; columns named as the outputs are replaced.
     """
     keep = [c for c in df.columns if c not in (media, n_bytes)]
     src = df.select(*[F.col(f"`{c}`") for c in keep], F.col(f"`{text}`").alias("__text"))
@@ -225,8 +255,10 @@ def with_media(df: DataFrame, text: str = "text", media: str = "media", n_bytes:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for k in range(0, b.num_rows, 512):
-                part = b.slice(k, 512)
+            k = 0
+            for n in portions(pa.compute.binary_length(b.column(len(keep))).fill_null(0).to_pylist(), AT_ONCE):
+                part = b.slice(k, n)
+                k += n
                 made = [padded(t) for t in part.column(len(keep)).to_pylist()]
                 yield pa.RecordBatch.from_arrays(
                     [*part.columns[: len(keep)], pa.array([n for _, n in made], pa.int64()), pa.array([encode(p) for p, _ in made], pa.binary())],

@@ -12,7 +12,7 @@ import re
 import unicodedata
 import zlib
 from collections import deque
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -21,7 +21,7 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomsift.llm.common import frugal, ranked, stage, table
+from loomsift.llm.common import frugal, portions, ranked, stage, table
 
 CAPACITY = 4096
 #: The id that ends a document.
@@ -204,18 +204,6 @@ class TextIds:
             return [b"".join(x if isinstance(x, bytes) else get(x) for x in s) for s in split]
 
 
-def parts(texts: Iterable[str], most: int) -> Iterator[int]:
-    """How many texts come next, again and again, so that they have about ``most`` characters, or are one text."""
-    n = chars = 0
-    for t in texts:
-        if n and chars + len(t) > most:
-            yield n
-            n = chars = 0
-        n, chars = n + 1, chars + len(t) + 64
-    if n:
-        yield n
-
-
 def cut(ids: bytes, capacity: int) -> Iterator[tuple[int, int, int, int]]:
     """piece, start, length and CRC of the pieces of a document's ids."""
     step = 4 * capacity
@@ -239,7 +227,7 @@ def tokenize_pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, e
                 some = b.slice(at, 1024)
                 docs_, texts = some.column(0).to_pylist(), [t or "" for t in some.column(1).to_pylist()]
                 k = 0
-                for n in parts(texts, AT_ONCE):
+                for n in portions(map(len, texts), AT_ONCE):
                     rows = [(d, *p) for d, ids in zip(docs_[k : k + n], tokens.ids(texts[k : k + n]), strict=True) for p in cut(ids + end, capacity)]
                     yield pa.RecordBatch.from_arrays([pa.array(c, x) for c, x in zip(zip(*rows, strict=True), kinds, strict=True)], names=["doc_id", "piece", "start", "length", "ids_crc32"])
                     k += n
@@ -313,6 +301,20 @@ def dearest(sizes: np.ndarray, price: np.ndarray, capacity: int, most: int) -> n
     return np.array(used, np.int64)
 
 
+def inverted(a: np.ndarray) -> np.ndarray:
+    """The inverse, by elimination with the largest pivots. (The library's own starts threads, which a driver that has forked may wait for without end.)"""
+    n = len(a)
+    x = np.hstack([a, np.eye(n)])
+    for k in range(n):
+        p = k + int(np.argmax(np.abs(x[k:, k])))
+        x[[k, p]] = x[[p, k]]
+        x[k] /= x[k, k]
+        rest = x[:, k].copy()
+        rest[k] = 0.0
+        x -= np.outer(rest, x[k])
+    return x[:, n:]
+
+
 def configurations(sizes: np.ndarray, demand: np.ndarray, capacity: int, most: int, gap: float = 2e-4) -> tuple[np.ndarray, np.ndarray]:
     """Configurations (columns of how often each size is in one) and how often to use each, for the fewest sequences in fractions.
 
@@ -332,14 +334,14 @@ def configurations(sizes: np.ndarray, demand: np.ndarray, capacity: int, most: i
         worth = price @ column
         if worth <= 1 + 1e-9 or x.sum() * (1 - 1 / worth) <= gap * x.sum():
             break
-        way = inverse @ column
+        way = (inverse * column).sum(axis=1)
         ratio = np.where(way > 1e-9, x / np.where(way > 1e-9, way, 1.0), np.inf)
         out = int(np.argmin(ratio))
         x = np.maximum(x - ratio[out] * way, 0.0)
         x[out] = ratio[out]
         basis[:, out] = column
         if step % 200 == 199:
-            inverse = np.linalg.inv(basis)
+            inverse = inverted(basis)
         else:
             row = inverse[out] / way[out]
             inverse = inverse - np.outer(way, row)

@@ -94,7 +94,7 @@ def test_linear_program():
         demand = rng.integers(1, 500, len(sizes)).astype(float)
         columns, x = packing.configurations(sizes, demand, 100, 3)
         assert (columns @ x >= demand - 1e-6).all() and (sizes @ columns <= 100).all() and (columns.sum(axis=0) <= 3).all()
-        price = np.linalg.inv(columns.astype(float)).sum(axis=0)
+        price = packing.inverted(columns.astype(float)).sum(axis=0)
         worth = max(price[list(c)].sum() for k in (1, 2, 3) for c in combinations_with_replacement(range(len(sizes)), k) if sizes[list(c)].sum() <= 100)
         assert x.sum() * (1 - 1 / worth) <= 3e-4 * x.sum() + 1e-9
 
