@@ -37,10 +37,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 #: DuckDB SQL where it can express a query over whole tables. The others are tested against brute force.
 ORACLE_SQL: dict[str, str] = {
     "op2_warc_round_trip": """
-with p as (select page_id, strlen(coalesce(html, '')) n, sha1(coalesce(html, '')) d from pages),
-k as (select d, max(page_id) keeper from p where n >= 1000 group by d)
-select page_id, n payload_bytes, d payload_digest, case when keeper <> page_id then 'revisit' else 'response' end record_type, case when keeper <> page_id then keeper end refers_to
-from p left join k using (d)""",
+with p as (select page_id, url, strlen(coalesce(html, '')) n, sha1(coalesce(html, '')) d from pages),
+k as (select d, max(page_id) keeper from p where n >= 1000 group by d),
+r as (select p.*, keeper, row_number() over (partition by d, page_id order by url desc nulls last) i from p left join k using (d))
+select page_id, n payload_bytes, d payload_digest, case when n >= 1000 and keeper is not null and (page_id is distinct from keeper or i > 1) then 'revisit' else 'response' end record_type,
+  case when n >= 1000 and keeper is not null and (page_id is distinct from keeper or i > 1) then keeper end refers_to, null::varchar error
+from r""",
     "op3_bagminhash_near_duplicates": f"""
 with recursive w as (select doc_id, list_filter(regexp_split_to_array(text, '[{WS}]+'), lambda x: x <> '') w from documents),
 s as (select doc_id, unnest(case when len(w) >= 5 then list_transform(generate_series(1, len(w) - 4), lambda i: array_to_string(w[i:i + 4], ' ')) when len(w) > 0 then [array_to_string(w, ' ')] else [] end) g from w),

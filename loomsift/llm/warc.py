@@ -1,106 +1,84 @@
-"""WARC archives: a writer of deduplicated records and a splittable reader of gzip members."""
+"""WARC archives: a writer of deduplicated records, read back by the splittable reader of ``sources.warc``."""
 
 from __future__ import annotations
 
 import base64
 import hashlib
-import os
 import uuid
-import zlib
 from collections.abc import Iterator
-from contextlib import contextmanager
-from urllib.parse import unquote, urlsplit
 
 import pyarrow as pa
-from pyarrow import fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loomsift.llm.common import fresh_path, frugal, stage, table
-from loomsift.sources.warc import BREAK, GZIP_MAGIC, WarcError, format_record, gzip_member, parse_head
+from loomsift.sources.warc import format_record, gzip_member, new_file, read_files
+
+__all__ = ["mark_revisits", "op2_warc_round_trip", "read_files", "write_archives"]
 
 #: Payloads of at least so many bytes are stored once.
 LEAST = 1000
-#: Bytes of an archive that one task of the reader owns.
-SPLIT = 8 << 20
-#: Tasks that byte ranges are dealt to, at most.
-TASKS = 20_000
-#: Bytes read at a time.
-CHUNK = 1 << 20
-#: Bytes of a candidate that are inflated to look for a record's head.
-PROBE = 4096
-#: Bytes of payload that a batch holds before it is sent on; a larger record is a batch of its own.
-BATCH = 4 << 20
 HTTP_HEAD = "HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {}\r\n\r\n"
 PROFILE = "http://netpreserve.org/warc/1.0/revisit/identical-payload-digest"
 DATE = "2000-01-01T00:00:00Z"
 MANIFEST = "path string, bytes long, records long"
-RECORDS = "path string, offset long, member_bytes long, rec_type string, record_id string, target_uri string, refers_to string, digest string, length long, payload binary"
-
-
-def filesystem(path: str) -> tuple[pafs.FileSystem, str]:
-    """The file system of a path or URI, and the path in it."""
-    if "://" not in path and not path.startswith("file:"):
-        return pafs.LocalFileSystem(), path
-    parts = urlsplit(path)
-    if parts.scheme == "file":
-        return pafs.LocalFileSystem(), unquote(parts.path)
-    return pafs.FileSystem.from_uri(path)
-
-
-@contextmanager
-def new_file(path: str):
-    """A file that appears under its name only when it is whole."""
-    fs, at = filesystem(path)
-    fs.create_dir(os.path.dirname(at), recursive=True)
-    with fs.open_output_stream(f"{at}.part", compression=None) as out:
-        yield out
-    fs.move(f"{at}.part", at)
+PAGES = ("page_id", "url", "html", "copy", "keeper", "keeper_url")
 
 
-def urn(page_id: int | None, copy: str) -> str:
-    """A record's id: of the page, or of its URL and digest where it has no id."""
-    return f"<urn:page:{page_id}>" if page_id is not None else f"<urn:nopage:{copy}>"
+def urn(page_id: int | None, url: str | None, sha1: bytes, copy: int) -> str:
+    """A record's id, from the page's id, a hash of its URL and payload, and its number among rows that are equal in all that."""
+    return f"<urn:page:{'null' if page_id is None else page_id}:{hashlib.sha1(repr(url).encode() + sha1).hexdigest()[:16]}:{copy}>"
 
 
-def page_record(page_id: int | None, url: str | None, html: bytes, sha1: bytes, keeper: int | None) -> bytes:
+def page_record(row: dict, html: bytes) -> bytes:
     """The bytes of a response, or of a revisit of ``keeper``."""
-    http = HTTP_HEAD.format(len(html)).encode()
+    sha1 = hashlib.sha1(html).digest()
+    own = row["keeper"] is None
     head = {
-        "WARC-Type": "response" if keeper is None else "revisit",
-        "WARC-Record-ID": urn(page_id, hashlib.sha1((url or "").encode() + sha1).hexdigest()),
+        "WARC-Type": "response" if own else "revisit",
+        "WARC-Record-ID": urn(row["page_id"], row["url"], sha1, row["copy"]),
         "WARC-Date": DATE,
-        "WARC-Target-URI": url or "",
+        "WARC-Target-URI": row["url"] or "",
         "WARC-Payload-Digest": "sha1:" + base64.b32encode(sha1).decode(),
         "X-Payload-Length": str(len(html)),
         "Content-Type": "application/http; msgtype=response",
     }
-    if keeper is not None:
-        head |= {"WARC-Refers-To": urn(keeper, ""), "WARC-Profile": PROFILE}
-    return format_record(head, http + (html if keeper is None else b""))
+    if not own:
+        head |= {"WARC-Refers-To": urn(row["keeper"], row["keeper_url"], sha1, 0), "WARC-Profile": PROFILE}
+    return format_record(head, HTTP_HEAD.format(len(html)).encode() + (html if own else b""))
 
 
 def mark_revisits(pages: DataFrame, least: int = LEAST) -> DataFrame:
-    """page_id, url, html, keeper: the page that a row's payload is stored under, null for its own.
-
-    Among equal payloads of ``least`` bytes or more the largest page_id keeps the payload. Rows
-    that repeat the keeper's id are responses too. A null html is an empty payload; a null page_id
-    never keeps a payload for others.
+    """page_id, url, html, copy, keeper, keeper_url: the page (and its URL) that a row's payload is stored under, null for its own.
+
+    Of the rows with an equal payload of ``least`` bytes or more the one of the largest page_id keeps
+    it, of several such the one of the largest URL, and of rows that are equal in all this the first;
+    ``copy`` numbers those. A null html is an empty payload; a null page_id never keeps a payload for
+    rows that have one, and rows of null ids all keep theirs where there is no other.
+    Digests alone are grouped; where a payload repeats, its rows meet what is said about it in a join
+    that can split a very common one. Shorter payloads and such as do not repeat go past it.
     """
     html = F.coalesce(F.col("html"), F.lit(""))
+    url = F.struct(F.col("url").isNotNull().alias("some"), "url")
     x = pages.select("page_id", "url", html.alias("html"), F.sha1(html).alias("__digest"), F.octet_length(html).alias("__n"))
-    kept = (
-        x.filter(F.col("__n") >= least)
-        .groupBy(F.col("__digest").alias("__same"))
-        .agg(F.max("page_id").alias("__keeper"), F.count(F.lit(1)).alias("__copies"))
-        .filter(F.col("__copies") > 1)
-    )
-    x = x.join(kept, F.col("__digest") == F.col("__same"), "left")
-    return x.select("page_id", "url", "html", F.when(F.col("page_id").isNull() | (F.col("__keeper") != F.col("page_id")), F.col("__keeper")).alias("keeper"))
+    short, long = x.filter(F.col("__n") < least), x.filter(F.col("__n") >= least)
+    rows = long.filter(F.col("page_id").isNotNull()).groupBy("__digest", "page_id", url.alias("u")).agg(F.count(F.lit(1)).alias("n"))
+    kept = rows.groupBy(F.col("__digest").alias("__same")).agg(F.max(F.struct("page_id", "u", "n")).alias("k"))
+    kept = stage(kept.select("__same", F.col("k.page_id").alias("__keeper"), F.col("k.u.url").alias("__keeper_url"), F.col("k.n").alias("__n_same")), "warc-keepers")
+    x = long.join(kept, F.col("__digest") == F.col("__same"), "left")
+    is_keeper = F.coalesce(F.col("page_id") == F.col("__keeper"), F.lit(False)) & F.col("url").eqNullSafe(F.col("__keeper_url"))
+    own = is_keeper | F.col("__keeper").isNull()
+    plain = x.filter(~is_keeper | (F.col("__n_same") == 1)).select("page_id", "url", "html", F.lit(0).alias("copy"), F.when(~own, F.col("__keeper")).alias("keeper"), F.when(~own, F.col("__keeper_url")).alias("keeper_url"))
+    # rows that equal the keeper in all columns: one payload for them, and their numbers
+    same = x.filter(is_keeper & (F.col("__n_same") > 1)).groupBy("page_id", "url", "__digest").agg(F.first("html").alias("html"), F.count(F.lit(1)).cast("int").alias("n"))
+    same = same.select("page_id", "url", F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("copy"), "html")
+    again = F.col("copy") > 0
+    same = same.select("page_id", "url", "html", "copy", F.when(again, F.col("page_id")).alias("keeper"), F.when(again, F.col("url")).alias("keeper_url"))
+    return short.select("page_id", "url", "html", F.lit(0).alias("copy"), F.lit(None).cast("long").alias("keeper"), F.lit(None).cast("string").alias("keeper_url")).unionByName(plain).unionByName(same)
 
 
 def write_archives(pages: DataFrame, folder: str, level: int = 6, target: int = 64 << 20) -> DataFrame:
-    """Write page_id, url, html, keeper as archives of one gzip member a record; returns path, bytes, records of each.
+    """Write the rows of ``mark_revisits`` as archives of one gzip member a record; returns path, bytes, records of each.
 
     Each task writes files of its own, of about ``target`` bytes at most. A task that is run again
     writes under new names, and only names in the result count. An empty table gives no file.
@@ -113,160 +91,20 @@ def write_archives(pages: DataFrame, folder: str, level: int = 6, target: int =
             path, n, size = f"{folder}/{uuid.uuid4().hex}.warc.gz", 0, 0
             with new_file(path) as out:
                 while row is not None and size < target:
-                    html = row["html"].encode("utf-8", "surrogatepass")
-                    member = gzip_member(page_record(row["page_id"], row["url"], html, hashlib.sha1(html).digest(), row["keeper"]), level)
+                    member = gzip_member(page_record(row, row["html"].encode("utf-8", "surrogatepass")), level)
                     out.write(member)
                     n, size = n + 1, size + len(member)
                     row = next(rows, None)
             yield pa.RecordBatch.from_pydict({"path": [path], "bytes": [size], "records": [n]}, pa.schema([("path", pa.string()), ("bytes", pa.int64()), ("records", pa.int64())]))
 
-    return stage(pages.select("page_id", "url", "html", "keeper").mapInArrow(frugal(run), MANIFEST), "warc-manifest")
-
-
-class Window:
-    """Bytes of a file from some place on, read as they are needed and dropped behind ``keep_from``."""
-
-    def __init__(self, file, at: int, size: int):
-        self.file, self.base, self.size, self.data = file, at, size, b""
-        file.seek(at)
-
-    def fill(self, upto: int) -> bool:
-        """Have the bytes before ``upto``, or all there are; says if there are that many."""
-        while self.base + len(self.data) < min(upto, self.size):
-            more = self.file.read(CHUNK)
-            if not more:
-                break
-            self.data += more
-        return self.base + len(self.data) >= upto
-
-    def keep_from(self, at: int) -> None:
-        self.data, self.base = self.data[at - self.base :], at
-
-    def find(self, what: bytes, at: int, stop: int) -> int:
-        """The first place from ``at`` on, before ``stop``, where ``what`` begins; -1 if there is none."""
-        while at < stop:
-            self.fill(min(at + CHUNK, stop) + len(what))
-            hit = self.data.find(what, at - self.base, min(at + CHUNK, stop) - self.base + len(what) - 1)
-            if hit >= 0:
-                return hit + self.base
-            at += CHUNK
-            self.keep_from(min(at, self.base + len(self.data)))
-        return -1
-
-
-def inflate(win: Window, at: int) -> tuple[bytes, int] | None:
-    """The record of the gzip member that begins at ``at`` and the member's end; None if none does.
-
-    The candidate must inflate, and what comes out must begin with a record's head; only then is
-    the rest inflated.
-    """
-    d, pos = zlib.decompressobj(31), at
-    parts: list[bytes] = []
-    checked = False
-    try:
-        while not d.eof:
-            step = PROBE if not checked else CHUNK
-            win.fill(pos + step)
-            piece = win.data[pos - win.base : pos - win.base + step]
-            if not piece:
-                return None
-            parts.append(d.decompress(piece))
-            pos += len(piece)
-            if not checked:
-                start = b"".join(parts)
-                if not start.startswith(b"WARC/"[: len(start)]):
-                    return None
-                if BREAK * 2 in start or d.eof:
-                    parse_head(start)
-                    checked = True
-    except (zlib.error, WarcError):
-        return None
-    return b"".join(parts), pos - len(d.unused_data)
-
-
-def members(path: str, start: int, stop: int) -> Iterator[tuple[int, int, bytes]]:
-    """offset, size and record of the members that begin in a byte range of a file.
-
-    The range is scanned for the gzip magic; a hit that is part of another member's bytes does not
-    inflate to a record's head and is passed over. After a member the scan goes on at its end, so
-    a member that begins in the range is read whole though it ends beyond. (An archive kept
-    inside a record without being compressed again could be taken for records of the outer one by
-    a range that begins within it.)
-    """
-    fs, at = filesystem(path)
-    with fs.open_input_file(at) as file:
-        size = file.size()
-        win, pos = Window(file, start, size), start
-        while (pos := win.find(GZIP_MAGIC, pos, min(stop, size))) >= 0:
-            win.keep_from(pos)
-            got = inflate(win, pos)
-            if got is None:
-                pos += 1
-                continue
-            yield pos, got[1] - pos, got[0]
-            pos = got[1]
-
-
-def splits(files: DataFrame, size: int = SPLIT) -> DataFrame:
-    """path, start, stop of byte ranges of the files in path, bytes."""
-    return files.select("path", F.explode(F.sequence(F.lit(0), F.greatest(F.col("bytes") - 1, F.lit(0)), F.lit(size))).alias("start")).select("path", "start", (F.col("start") + size).alias("stop"))
-
-
-def read_ranges(ranges: DataFrame) -> DataFrame:
-    """All records that begin in the byte ranges: RECORDS.
-
-    refers_to and record_id are what stands in the brackets; digest is bare lower-case hex, of
-    the payload where there is one and else from the header; length is the full payload's.
-    """
-
-    def record(path: str, at: int, size: int, data: bytes) -> tuple:
-        headers, head = parse_head(data)
-        h = {k.lower(): v for k, v in headers.items()}
-        block = data[head : head + int(h.get("content-length", 0))]
-        payload = block.partition(BREAK * 2)[2] if "application/http" in h.get("content-type", "") else block
-        kind = h.get("warc-type", "")
-        told = h.get("warc-payload-digest", "").partition(":")[2]
-        if kind == "revisit":
-            digest, length, payload = base64.b32decode(told).hex() if told else None, int(h.get("x-payload-length", 0)), None
-        else:
-            sha1 = hashlib.sha1(payload)
-            digest, length = sha1.hexdigest(), len(payload)
-            if told and base64.b32encode(sha1.digest()).decode() != told:
-                raise WarcError(f"{path}, byte {at}: the payload does not have its digest")
-        bare = [h[k].strip("<>") if k in h else None for k in ("warc-record-id", "warc-refers-to")]
-        return path, at, size, kind, bare[0], h.get("warc-target-uri"), bare[1], digest, length, payload
-
-    names = ["path", "offset", "member_bytes", "rec_type", "record_id", "target_uri", "refers_to", "digest", "length", "payload"]
-    kinds = [pa.string(), pa.int64(), pa.int64(), *[pa.string()] * 5, pa.int64(), pa.binary()]
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for r in b.to_pylist():
-                rows: list[tuple] = []
-                held = 0
-                for at, size, data in members(r["path"], r["start"], r["stop"]):
-                    rows.append(record(r["path"], at, size, data))
-                    held += len(data)
-                    if held > BATCH:
-                        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names=names)
-                        rows, held = [], 0
-                if rows:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names=names)
-
-    return ranges.mapInArrow(frugal(run), RECORDS)
-
-
-def read_files(files: DataFrame, size: int = SPLIT) -> DataFrame:
-    """All records of the archives in path, bytes; a task for each byte range, dealt out by a hash of it."""
-    tasks = files.agg(F.sum(F.ceil(F.greatest(F.col("bytes"), F.lit(1)) / size)).alias("n")).first()["n"] or 1
-    return read_ranges(splits(files, size).repartition(min(int(tasks), TASKS), "path", "start"))
+    return stage(pages.select(*PAGES).mapInArrow(frugal(run), MANIFEST), "warc-manifest")
 
 
 def op2_warc_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every page written as a WARC record, equal payloads once, and read back by byte ranges."""
+    """Every page written as a WARC record, equal payloads once, and read back by byte ranges; damage would be a row with an error."""
     files = write_archives(mark_revisits(table(spark, sf_dir, "pages")), fresh_path(spark, "warc"))
-    page = lambda c: F.regexp_extract(c, r"^urn:page:(-?\d+)$", 1).try_cast("long")
+    page = lambda c: F.regexp_extract(c, r"^urn:page:(-?\d+):", 1).try_cast("long")
     return read_files(files).select(
         page("record_id").alias("page_id"), F.col("length").alias("payload_bytes"), F.col("digest").alias("payload_digest"), F.col("rec_type").alias("record_type"),
-        page("refers_to").alias("refers_to"),
+        page("refers_to").alias("refers_to"), "error",
     )
