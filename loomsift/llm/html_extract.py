@@ -5,8 +5,10 @@ from __future__ import annotations
 import html as entities
 import re
 from collections.abc import Iterable, Iterator
+from itertools import accumulate
 
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -32,47 +34,67 @@ ENDS = {
     "th": (frozenset(["td", "th"]), frozenset(["table", "tr"])),
 }
 P_SCOPE = frozenset("table td th caption button template html".split())
-#: Elements that never are main text.
-DROPPED = frozenset("head nav header footer aside form button script style noscript template iframe noembed noframes svg math canvas object audio video dialog select menu search textarea title xmp".split())
+#: Elements that hold no text of the page, those that never are main text unless they hold it, and those that may be part of it.
+NO_TEXT = frozenset("head script style noscript template iframe noembed noframes svg math canvas object audio video textarea title xmp select".split())
+NOT_MAIN = frozenset("nav button dialog menu search".split())
+SOFT = frozenset("header footer aside form".split())
 #: Roles that never are main text.
-ROLES = frozenset("navigation banner contentinfo complementary search dialog alertdialog alert form menu menubar toolbar".split())
-#: Words of class and id that say so.
-BOILERPLATE = frozenset(
-    "ad ads adv advert adverts advertisement advertising adsense sponsor sponsored sponsors promo promos promotion sidebar sidebars sidenav aside menu menus nav navbar navigation navmenu breadcrumb breadcrumbs footer foot header masthead topbar toolbar cookie cookies consent gdpr notice notices banner alert alerts popup modal overlay newsletter subscribe subscription signup login share shares sharing social related recommended recommendations comment comments commentlist disqus replies respond discussion widget widgets pagination pager copyright legal disclaimer hidden skip teaser teasers".split()
+ROLES = frozenset("navigation banner contentinfo complementary search dialog alertdialog alert menu menubar toolbar".split())
+#: Whole class names and ids that say so of a container: reader comments, adverts, notices and the like, where nothing else tells.
+LABELS = frozenset(
+    "ad ads advert adverts advertisement sponsored promo sidebar nav navbar navigation menu breadcrumb breadcrumbs footer header cookie cookies cookie-notice cookie-banner newsletter share sharing social related-posts related-articles comment comments comment-list comments-section pagination".split()
 )
+LABELLED = frozenset("div section aside ul ol dl table form nav header footer".split())
 CONTAINERS = frozenset("body article main section div td center".split())
 BONUS = {"article": 3.0, "main": 2.0}
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 #: Share of a child container's score that its parent gets.
 DECAY = 0.7
 LEVELS = 6
-#: An element that its class would drop stays if it holds more of a page's text than this.
+#: An element that its kind or label would drop stays if it holds more of a page's text than this, or an article.
 MOST = 0.5
 
 TOKEN = re.compile(
     r"""<!--.*?(?:--!?>|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*+)(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)([^>]*)(?:>|\Z)""", re.S
 )
 ATTR = re.compile(r"""([^\s=/"'>]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
-WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
 NUMBER = re.compile(r"\d+")
 WORD = re.compile(r"\w")
 
 
+def path_id(parent: int, key: str) -> int:
+    """The hash of a generalised path by its parent's; the page's own is 0."""
+    return xxhash.xxh64_intdigest(key.encode("utf-8", "surrogatepass"), parent & 0xFFFFFFFFFFFFFFFF) - 2**63
+
+
 class Page:
-    """A page as a list of texts and block breaks (None), and elements as ranges of it."""
+    """A page as a list of texts and block breaks (None), and elements as ranges of it.
+
+    An element's generalised path is its ancestors' tags and classes, numbers made alike; it goes by
+    a hash that is worked out from the parent's, so deep nesting costs no more than its elements.
+    """
 
     def __init__(self, markup: str):
         self.items: list[str | None] = []
         self.links: set[int] = set()
-        self.tags, self.paths, self.parents = ["html"], [""], [-1]
+        self.tags, self.keys, self.paths, self.parents = ["html"], [""], [0], [-1]
         self.starts, self.ends = [0], [0]
-        self.dropped = [0]  # 1: by its class, 2: by its kind
+        self.dropped = [0]  # 1: by label or kind, unless it holds the main text, 2: for good
         self.parse(markup)
         self.measure()
         self.owner, self.box = self.owners()
 
+    def path(self, k: int) -> str:
+        """An element's generalised path."""
+        out = []
+        while k > 0:
+            out.append(self.keys[k])
+            k = self.parents[k]
+        return ">".join(reversed(out))
+
     def parse(self, markup: str) -> None:
         stack, in_link, at = [0], 0, 0
+        depths: dict[str, list[int]] = {}  # of the open elements of each tag
         items = self.items
 
         def text(s: str) -> None:
@@ -86,19 +108,17 @@ class Page:
             while len(stack) > depth:
                 k = stack.pop()
                 self.ends[k] = len(items)
+                if stack:
+                    depths[self.tags[k]].pop()
                 if self.tags[k] in BLOCK:
                     items.append(None)
                 elif self.tags[k] == "a":
                     in_link -= 1
 
         def nearest(tags: frozenset, stop: frozenset) -> int:
-            for d in range(len(stack) - 1, 0, -1):
-                t = self.tags[stack[d]]
-                if t in tags:
-                    return d
-                if t in stop:
-                    break
-            return 0
+            """The depth of the innermost open element of the tags, 0 if there is none or one of ``stop`` is inside it."""
+            d = max((depths[t][-1] for t in tags if depths.get(t)), default=0)
+            return d if d and all(depths[t][-1] <= d for t in stop if depths.get(t)) else 0
 
         end = len(markup)
         while at < end:
@@ -147,66 +167,70 @@ class Page:
                 self.ends[k] = len(items)
                 continue
             stack.append(k)
+            depths.setdefault(tag, []).append(len(stack) - 1)
             if tag == "a":
                 in_link += 1
         close(0)
 
     def open(self, parent: int, tag: str, attrs: str) -> None:
-        key, drop = tag, 2 if tag in DROPPED else 0
+        key, drop = tag, 2 if tag in NO_TEXT else 1 if tag in NOT_MAIN or tag in SOFT else 0
         if attrs and tag not in ("a", "img", "script", "link"):
             for name, *values in ATTR.findall(attrs):
                 name, value = name.lower(), next((v for v in values if v), "")
                 if name == "class":
                     key += "".join(sorted("." + NUMBER.sub("#", c.lower()) for c in set(value.split())))
-                elif name == "role" and value.lower() in ROLES or name == "hidden" or name == "aria-hidden" and value.lower() == "true":
+                elif name == "hidden" or name == "aria-hidden" and value.lower() == "true":
                     drop = 2
-                if name in ("class", "id") and not drop and tag not in ("html", "body", "article", "main") and any(w.lower() in BOILERPLATE for w in WORDS.findall(value)):
-                    drop = 1
+                elif name == "role" and value.lower() in ROLES:
+                    drop = max(drop, 1)
+                if name in ("class", "id") and tag in LABELLED and not LABELS.isdisjoint(value.lower().split()):
+                    drop = max(drop, 1)
         self.tags.append(tag)
+        self.keys.append(key)
         self.parents.append(parent)
-        self.paths.append(f"{self.paths[parent]}>{key}" if parent else key)
+        self.paths.append(path_id(self.paths[parent], key))
         self.starts.append(len(self.items))
         self.ends.append(len(self.items))
         self.dropped.append(drop)
 
     def measure(self) -> None:
-        """Lengths of text up to each item, and ranges that are dropped for good."""
+        """Which elements go: those of no text, and those that a kind or label tells unless they hold an article or most of the text.
+
+        A header in an article that has a heading is the article's.
+        """
         upto, n = [0], 0
         for x in self.items:
             n += len(x.strip()) if x else 0
             upto.append(n)
         size = [upto[e] - upto[s] for s, e in zip(self.starts, self.ends, strict=True)]
-        holds = [False] * len(self.tags)
+        holds, titled = [False] * len(self.tags), [False] * len(self.tags)
+        inside = [False] * len(self.tags)
+        for k in range(1, len(self.tags)):
+            inside[k] = inside[self.parents[k]] or self.tags[self.parents[k]] in BONUS
         for k in range(len(self.tags) - 1, 0, -1):
-            holds[self.parents[k]] |= holds[k] or self.tags[k] in ("article", "main")
-        self.out = [d == 2 or d == 1 and not holds[k] and size[k] <= MOST * max(n, 1) for k, d in enumerate(self.dropped)]
-
-    def kept(self, k: int) -> Iterator[int]:
-        """Item numbers of an element without its dropped parts."""
-        skips = sorted((self.starts[j], self.ends[j]) for j in range(k + 1, len(self.tags)) if self.out[j] and self.starts[k] <= self.starts[j] and self.ends[j] <= self.ends[k])
-        at = self.starts[k]
-        for s, e in skips:
-            yield from range(at, max(at, s))
-            at = max(at, e)
-        yield from range(at, self.ends[k])
-
-    def gone(self) -> list[bool]:
-        """Of each element, whether it is in a dropped one."""
-        out = list(self.out)
-        for k in range(1, len(out)):
-            out[k] = out[k] or out[self.parents[k]]
-        return out
+            holds[self.parents[k]] |= holds[k] or self.tags[k] in BONUS
+            titled[self.parents[k]] |= titled[k] or self.tags[k] in HEADINGS
+        self.out = [
+            d == 2 or d == 1 and not holds[k] and size[k] <= MOST * max(n, 1) and not (self.tags[k] == "header" and inside[k] and titled[k]) for k, d in enumerate(self.dropped)
+        ]
 
     def owners(self) -> tuple[list[int], list[int]]:
         """The innermost container of each item, -1 in dropped elements, and that of each element, itself if it is one; 0 is the page."""
-        gone = self.gone()
-        owner = [0] * len(self.items)
+        gone = list(self.out)
         box = [0] * len(self.tags)
         for k in range(1, len(self.tags)):
+            gone[k] = gone[k] or gone[self.parents[k]]
             box[k] = k if self.tags[k] in CONTAINERS else box[self.parents[k]]
-        mark = [(s, e, k) for k, (s, e) in enumerate(zip(self.starts, self.ends, strict=True)) if k and (self.tags[k] in CONTAINERS or self.out[k])]
-        for s, e, k in mark:  # in page order, so inner ones overwrite outer ones
-            owner[s:e] = [-1 if gone[k] else k] * (e - s)
+        owner = []
+        at, open_ = 1, [0]  # elements come in page order and end inside each other
+        for i in range(len(self.items)):
+            while len(open_) > 1 and self.ends[open_[-1]] <= i:
+                open_.pop()
+            while at < len(self.tags) and self.starts[at] <= i:
+                if self.ends[at] > i and (self.out[at] or self.tags[at] in CONTAINERS):
+                    open_.append(at)
+                at += 1
+            owner.append(-1 if gone[open_[-1]] else open_[-1])
         return owner, box
 
     def scores(self) -> dict[int, float]:
@@ -227,44 +251,48 @@ class Page:
                 total[up] = total.get(up, 0.0) + n * share
         return {k: n * BONUS.get(self.tags[k], 1.0) for k, n in total.items()}
 
-    def best(self, path: str | None = None) -> int:
+    def best(self, path: int | None = None) -> int:
         """The container of the highest score, of those with the path if there are any; the first of equals."""
         scores = self.scores()
         named = [k for k in scores if path is not None and self.paths[k] == path]
         return max(named or scores, key=lambda k: (scores[k], -k), default=0)
 
-    def main(self, path: str | None = None) -> str:
-        """The text of all containers with the path that have text outside links, and of what encloses them, in page order.
-
-        Of enclosing containers, up to an article or main, come the blocks of their own that are
-        headings or have a word outside links. A page without the path uses that of its best container.
-        """
+    def chosen(self, path: int | None = None) -> list[int]:
+        """The containers with the path that have text outside links; a page without the path uses that of its best container."""
         scores = self.scores()
         if path is None or all(self.paths[k] != path for k in scores):
             path = self.paths[self.best()]
-        chosen = [k for k in scores if self.paths[k] == path] or [0]
+        return [k for k in scores if self.paths[k] == path] or [0]
+
+    def main(self, path: int | None = None) -> str:
+        """The text of the chosen containers, and of what encloses them, in page order.
+
+        Of enclosing containers, up to an article or main, come the blocks of their own that are
+        headings or have a word outside links.
+        """
         owner, box = self.owner, self.box
         outer: set[int] = set()
         take: set[int] = set()
-        for k in chosen:
+        for k in self.chosen(path):
             take.update(i for i in range(self.starts[k], self.ends[k]) if owner[i] >= 0)
             while k and self.tags[k] not in BONUS and (k := box[self.parents[k]]) not in outer:
                 outer.add(k)
-        headings = {i for k, t in enumerate(self.tags) if t in HEADINGS for i in range(self.starts[k], self.ends[k])}
+        change = [0] * (len(self.items) + 1)
+        for k, t in enumerate(self.tags):
+            if t in HEADINGS:
+                change[self.starts[k]] += 1
+                change[self.ends[k]] -= 1
+        heading = list(accumulate(change))
         block: list[int] = []
         for i in range(len(self.items) + 1):
             if i < len(self.items) and self.items[i] is not None and owner[i] in outer and i not in take:
                 block.append(i)
                 continue
-            if any(i in headings or i not in self.links and WORD.search(self.items[i]) for i in block):
+            if any(heading[i] or i not in self.links and WORD.search(self.items[i]) for i in block):
                 take.update(block)
             block = []
         return self.lines(sorted(take))
 
-    def text(self, k: int) -> str:
-        """The element's blocks."""
-        return self.lines(self.kept(k))
-
     def lines(self, numbers: Iterable[int]) -> str:
         """The blocks of the items, white space made one space, joined by line breaks."""
         blocks: list[str] = []
@@ -288,17 +316,17 @@ def host(url: Column) -> Column:
 
 
 def page_votes(pages: DataFrame) -> DataFrame:
-    """host, path, vote: all paths of each page's containers, once each, with the millionths of the page's best score that their best containers have.
+    """host, path (its hash), vote: all paths of each page's containers, once each, with the millionths of the page's best score that their best containers have.
 
     Votes of the pages that come in one batch are summed. A null html is an empty page and votes for nothing.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            votes: dict[tuple[str, str], int] = {}
+            votes: dict[tuple[str, int], int] = {}
             for h, markup in zip(b.column(0).to_pylist(), b.column(1), strict=True):
                 page = Page(markup.as_py() or "")
-                paths: dict[str, float] = {}
+                paths: dict[int, float] = {}
                 for k, n in page.scores().items():
                     if k:
                         paths[page.paths[k]] = max(n, paths.get(page.paths[k], 0.0))
@@ -306,19 +334,19 @@ def page_votes(pages: DataFrame) -> DataFrame:
                 for path, n in paths.items():
                     votes[h, path] = votes.get((h, path), 0) + round(1e6 * n / best)
             rows = [(h, path, n) for (h, path), n in votes.items()]
-            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate((pa.string(), pa.string(), pa.int64()))], names=["host", "path", "vote"])
+            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate((pa.string(), pa.int64(), pa.int64()))], names=["host", "path", "vote"])
 
-    return pages.select(host(F.col("url")).alias("host"), "html").mapInArrow(frugal(run), "host string, path string, vote long")
+    return pages.select(host(F.col("url")).alias("host"), "html").mapInArrow(frugal(run), "host string, path long, vote long")
 
 
 def winning_paths(votes: DataFrame) -> DataFrame:
-    """host, path: the path with most votes of each host; the first in code point order of equals."""
+    """host, path: the path (its hash) with most votes of each host; the least hash of equals."""
     sums = votes.groupBy("host", "path").agg(F.sum("vote").alias("n"))
     return sums.groupBy("host").agg(F.min(F.struct((-F.col("n")).alias("n"), "path")).alias("w")).select("host", F.col("w.path").alias("path"))
 
 
 def extract(pages: DataFrame) -> DataFrame:
-    """Add host, path (the host's winning one), text and n_chars to pages with url and html.
+    """Add host, path (that of the containers the text is from), text and n_chars to pages with url and html.
 
     Hosts' paths are written to the shared folder first, so Spark knows their size and sends them
     to all workers only if they are small; else it joins by host and splits hot ones. The text is
@@ -335,11 +363,12 @@ def extract(pages: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            texts = []
+            texts, paths = [], []
             for path, markup in zip(b.column(len(out) + 1).to_pylist(), b.column(len(out) + 2), strict=True):
                 page = Page(markup.as_py() or "")
                 texts.append(page.main(path))
-            yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(texts, pa.string()), pa.array(map(len, texts), pa.int64())], names=schema.names)
+                paths.append(page.path(page.chosen(path)[0]))
+            yield pa.RecordBatch.from_arrays([*b.columns[:-2], pa.array(paths, pa.string()), pa.array(texts, pa.string()), pa.array(map(len, texts), pa.int64())], names=schema.names)
 
     return positional(src.select(*[F.col(f"`{c}`") for c in out], "host", "path", "__html")).mapInArrow(frugal(run), schema)
 

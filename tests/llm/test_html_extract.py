@@ -1,16 +1,24 @@
 import html as entities
 import re
+import time
 
 import duckdb
 
-from loomsift.llm.html_extract import Page, extract, winning_paths
+from loomsift.llm.html_extract import Page, extract, path_id, winning_paths
 
 from .cases import clashing
 
 
 def text(markup, path=None):
-    p = Page(markup)
-    return p.text(p.best(path))
+    return Page(markup).main(path)
+
+
+def of(path):
+    """The hash of a path that is written out."""
+    out = 0
+    for key in path.split(">"):
+        out = path_id(out, key)
+    return out
 
 
 def test_pages():
@@ -28,6 +36,47 @@ def test_pages():
     assert text("<div id=cookie-notice>accept</div><div id=content><p>the text</p></div>") == "the text"
 
 
+def test_nothing_of_the_article_goes():
+    words = "words of the article " * 20
+    assert text(f"<body><form><nav>menu</nav><article><p>{words}</p></article></form></body>") == words.strip()
+    assert text(f"<body><form id=aspnet><div class=page><div class=menu>m</div><div class=text><p>{words}</p></div></div></form></body>") == words.strip()
+    kept = f"<section id='discussion'><p>{words}</p></section><p class='related'>more</p><div class='legal-text'>law</div><p class='ad'>p</p>"
+    assert text(f"<body><article>{kept}</article></body>") == f"{words.strip()}\nmore\nlaw\np"
+    assert text(f"<article><header><h1>Title</h1><p>by</p></header><p>{words}</p><footer>f</footer></article>") == f"Title\nby\n{words.strip()}"
+    assert text(f"<body><header><h1>Site</h1></header><article><p>{words}</p></article></body>") == words.strip()
+    posts = "".join(f"<div class=post><p>post {i} {words}</p></div>" for i in range(3))
+    assert text(f"<body>{posts}</body>", of("body>div.post")).count("post") == 3
+    assert text(f"<nav><article><p>{words}</p></article></nav>") == words.strip()
+
+
+TEMPLATES = {
+    "wrapper": "<body><div id=header><a href=/>Site</a></div><div class='nav'><ul><li><a>x</a></ul></div><div id=main><div class=entry><h1>{t}</h1><p>{a}</p><p>{b}</p></div><div id=comments><p>{c}</p></div></div><div id=footer class=footer>(c)</div></body>",
+    "table": "<body><table><tr><td class=menu><a>m</a><br><a>n</a></td><td class=content><h2>{t}</h2><p>{a}</p><p>{b}</p></td></tr></table></body>",
+    "main": "<body><header><nav>m</nav></header><main><h1>{t}</h1><section><p>{a}</p></section><section><p>{b}</p></section><aside>side</aside></main><footer>f</footer></body>",
+    "form": "<body><form action=/><input name=q><div class=post-{i}><h1>{t}</h1><p>{a}</p><p>{b}</p></div><div class=ads>{c}</div></form></body>",
+    "bare": "<body><div class=cookie-banner>We use cookies</div><h1>{t}</h1><p>{a}</p><p>{b}</p><ul class=share><li>tell</ul></body>",
+}
+
+
+def test_unlike_templates(spark):
+    rows, want = [], {}
+    for n, (name, markup) in enumerate(TEMPLATES.items()):
+        for i in range(4):
+            t, a, b = f"Title {i}", f"first paragraph {i} " * 12, f"second paragraph {i} of some length " * 9
+            rows.append((10 * n + i, f"http://{name}.com/{i}", markup.format(t=t, a=a, b=b, c=f"a remark by reader {i} " * 3, i=i)))
+            want[10 * n + i] = f"{t}\n{a.strip()}\n{b.strip()}"
+    got = extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    assert {r["page_id"]: r["text"] for r in got} == want
+
+
+def test_deep_nesting_takes_linear_time():
+    for tags in (["<div>"], ["<h1>"], ["<p><table><tr><td><div>"], ["<a><span>", "</b>"], ["<li>", "<ul>"], ["<div class=c>", "<p>"]):
+        n = 100_000 // sum(t.count("<") for t in tags)
+        start = time.process_time()
+        assert text("".join(t * n for t in tags) + "deep").endswith("deep")
+        assert time.process_time() - start < 8
+
+
 def test_consensus(spark):
     good = "<body><div class='x1'><p>{}</p></div><div class='links'><p>{}</p></div></body>"
     rows = [(i, f"http://h.com/{i}", good.format("main text " * 20, "side " * 3)) for i in range(5)]
@@ -41,8 +90,8 @@ def test_consensus(spark):
     assert got[0]["text"] == ("main text " * 20).strip()
     assert (got[10]["text"], got[10]["n_chars"], got[11]["text"]) == ("", 0, "x")
     assert extract(clashing(df)).count() == len(rows) and extract(df.limit(0)).count() == 0
-    ties = spark.createDataFrame([("h", "b", 5), ("h", "a", 5), (None, "c", 1)], "host string, path string, vote long")
-    assert {r["host"]: r["path"] for r in winning_paths(ties).collect()}["h"] == "a"
+    ties = spark.createDataFrame([("h", 2, 5), ("h", 1, 5), (None, 3, 1)], "host string, path long, vote long")
+    assert {r["host"]: r["path"] for r in winning_paths(ties).collect()}["h"] == 1
 
 
 def test_articles_of_the_tables():

@@ -2,6 +2,8 @@ from pyspark.sql import functions as F
 
 from loomsift.llm.html_extract import Page, extract, page_votes
 
+from .test_html_extract import of
+
 
 def run(spark, markup):
     df = spark.createDataFrame([(i, f"http://h.com/{i}", markup) for i in range(4)], "page_id long, url string, html string")
@@ -17,9 +19,9 @@ def test_parts_of_one_path(spark):
 
 def test_all_elements_of_the_path():
     p = Page("<body><div class=part-1>one</div><div class=other>no</div><div class=part-2>two <div class=share>s</div>x</div><div class=part-3><a>link</a></div></body>")
-    assert p.main("body>div.part-#") == "one\ntwo\nx"
+    assert p.main(of("body>div.part-#")) == "one\ntwo\nx"
     cells = "".join(f"<tr><td>c{i}</td></tr>" for i in range(5000))
-    assert Page(f"<table>{cells}</table>").main("table>tr>td").count("\n") == 4999
+    assert Page(f"<table>{cells}</table>").main(of("table>tr>td")).count("\n") == 4999
 
 
 def test_wrapper_blocks(spark):
@@ -33,7 +35,7 @@ def test_wrapper_blocks(spark):
 
 def test_wrapper_ends_at_article():
     words = "words " * 50
-    assert Page(f"<body><p>outside</p><article><h2><a>Linked</a></h2><div class=t>{words}</div></article></body>").main("body>article>div.t") == f"Linked\n{words.strip()}"
+    assert Page(f"<body><p>outside</p><article><h2><a>Linked</a></h2><div class=t>{words}</div></article></body>").main(of("body>article>div.t")) == f"Linked\n{words.strip()}"
     assert Page(f"<body><p>outside</p><article>{words}</article></body>").main() == words.strip()
 
 
@@ -53,4 +55,4 @@ def test_all_containers_vote(spark):
         for path in {p.paths[k] for k in scores}:
             best = max(n for k, n in scores.items() if p.paths[k] == path)
             want[path] = want.get(path, 0) + round(1e6 * best / max(scores.values()))
-    assert sums == want and sums["body>div.text"] > 0 and len(sums) == 4 * len(boxes) + 2
+    assert sums == want and sums[of("body>div.text")] > 0 and len(sums) == 4 * len(boxes) + 2
