@@ -280,9 +280,10 @@ def links(signed: DataFrame, docs: DataFrame, similarity: float = SIMILARITY, si
     At first each bag is held against one other: of its buckets in FIRST bands it takes the
     largest, and there the member that shares most buckets with others, the centre; what is alike
     becomes one component. From then on come only buckets, of all bands, whose members are not all
-    in one component yet. In each of ``rounds`` rounds the members of a bucket are held against its
-    centre, and those that have not been centres after that are compared in blocks. So every pair of
-    a bucket is either compared or already connected.
+    in one component yet. In each of ``rounds`` rounds such a bucket has a centre, a member of the
+    component that has most members there, and only the members of other components are held
+    against it. The members of buckets that are open after that are compared in blocks. So every
+    pair of a bucket is either compared or already connected.
     """
     bag = signed.filter(F.col("bag").isNotNull()).groupBy(F.col("bag").alias("v")).agg(F.first("bands").alias("bands"), F.min(F.struct("k1", "k2")).alias("k"))
     bag = stage(bag, "nd-bags")
@@ -294,40 +295,29 @@ def links(signed: DataFrame, docs: DataFrame, similarity: float = SIMILARITY, si
     src = docs.select(*row_key("doc_id", "text"), "text")
     texts = stage(src.join(keys.hint("merge"), ["k1", "k2"]).select("v", "text").dropDuplicates(["v"]), "nd-texts")
 
-    def scored(found: DataFrame) -> DataFrame:
-        return stage(found.groupBy("v").agg(F.sum("size").alias("score"), F.max(F.struct("size", "bucket")).alias("largest")), "nd-scores")
-
-    def ranked_members(found: DataFrame, score: DataFrame) -> DataFrame:
-        return stage(found.join(score, "v").select("bucket", "v", "c", F.struct("score", "v").alias("rank")), "nd-open")
-
-    def centres(open_: DataFrame) -> DataFrame:
-        return stage(open_.groupBy("bucket").agg(F.max(F.struct("rank", "c")).alias("r")).select("bucket", F.col("r.rank.v").alias("a"), F.col("r.c").alias("ca")), "nd-centres")
-
     def held_against(members: DataFrame, centre: DataFrame) -> DataFrame:
         pairs = members.select("bucket", F.col("v").alias("b"), F.col("c").alias("cb")).join(centre, "bucket").filter(F.col("ca") != F.col("cb"))
         return verify(pairs.select("a", "b", "ca", "cb").distinct(), texts, similarity, size)
 
+    score = stage(first.groupBy("v").agg(F.sum("size").alias("score"), F.max(F.struct("size", "bucket")).alias("largest")), "nd-scores")
+    ranks = first.join(score, "v").groupBy("bucket").agg(F.max(F.struct("score", "v")).alias("r"))
+    centre = stage(ranks.select("bucket", F.col("r.v").alias("a"), F.col("r.v").alias("ca")), "nd-centres")
     labels = some.select("v", F.col("v").alias("c"))
-    first = first.withColumn("c", F.col("v"))
-    score = scored(first)
-    labels = relabel(labels, held_against(score.select("largest.bucket", "v", F.col("v").alias("c")), centres(ranked_members(first, score))))
-    members = bag.select("v", "bands").join(labels, "v").select("v", "c", F.explode("bands").alias("bucket"))
-    unlike = stage(members.groupBy("bucket").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.count(F.lit(1)).alias("size")).filter(F.col("lo") != F.col("hi")).select("bucket", "size"), "nd-unlike")
-    found = members.join(unlike, "bucket")
-    open_ = ranked_members(found, scored(found))
+    labels = relabel(labels, held_against(score.select("largest.bucket", "v", F.col("v").alias("c")), centre))
     for k in range(rounds + 1):
-        if not open_.limit(1).count():
-            break
-        if k == rounds:
-            labels = relabel(labels, compare_blocks(open_.select("bucket", "v", "c"), texts, similarity, size))
+        order = F.coalesce("score", F.lit(0)) if k == 0 else F.xxhash64("v", F.lit(k))
+        members = bag.select("v", "bands").join(labels, "v").join(score, "v", "left").select("v", "c", order.alias("rank"), F.explode("bands").alias("bucket"))
+        parts = members.groupBy("bucket", "c").agg(F.count(F.lit(1)).alias("n"), F.max(F.struct("rank", "v")).alias("top"))
+        most = parts.groupBy("bucket").agg(F.count(F.lit(1)).alias("parts"), F.sum("n").alias("all"), F.max(F.struct("n", "c", "top")).alias("m")).filter("parts > 1")
+        if k:
+            most = most.filter("all > 2")  # two members have been held against each other
+        centre = stage(most.select("bucket", F.col("m.top.v").alias("a"), F.col("m.c").alias("ca")), "nd-open")
+        if not centre.limit(1).count():
             break
-        centre = centres(open_)
-        labels = relabel(labels, held_against(open_, centre))
-        # what is left: without the centres, in buckets of several components
-        left = open_.join(centre.select("bucket", F.col("a").alias("v")), ["bucket", "v"], "left_anti").drop("c").join(labels, "v")
-        left = stage(left, "nd-left")
-        more = stage(left.groupBy("bucket").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).filter(F.col("lo") != F.col("hi")).select("bucket"), "nd-unlike")
-        open_ = stage(left.join(more, "bucket"), "nd-open")
+        if k < rounds:
+            labels = relabel(labels, held_against(members, centre))
+        else:
+            labels = relabel(labels, compare_blocks(members.join(centre, "bucket", "left_semi").select("bucket", "v", "c"), texts, similarity, size))
     return labels
 
 
