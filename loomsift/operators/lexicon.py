@@ -4,14 +4,17 @@ from __future__ import annotations
 
 import re
 from collections import Counter
+from collections.abc import Iterator
 
+import ahocorasick
 import pyarrow as pa
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from loomsift.config import FeatureConfig
-from loomsift.functions.text import bind, blank, python_lines, strip
+from loomsift.functions.text import bind, decode_utf8, python_lines, strip
 
 # Keywords that weigh three times, words too common to count, and phrases that deny.
 HEAVY = ("色情", "赌博", "特价", "促销", "优惠", "免费", "限时", "加QQ", "加微信", "http://", "www.", "点击", "链接", "联系电话", "约炮", "一夜情")
@@ -19,6 +22,8 @@ COMMON = ("系统", "手机", "电话", "网络", "联系", "人才", "招聘")
 DENIAL = r"(?:不包含|没有|禁止|反对|拒绝)[^\n]*?(?:色情|赌博|广告)"
 #: Words up to which a lexicon is matched by one regular expression; beyond, by a trie in Arrow batches.
 REGEX_WORDS = 400
+#: Words up to which a lexicon is sent to the workers as an automaton; beyond, substrings are joined to it.
+AUTOMATON_WORDS = 1_000_000
 
 
 def words_of(lines: DataFrame, column: str = "value") -> DataFrame:
@@ -26,9 +31,20 @@ def words_of(lines: DataFrame, column: str = "value") -> DataFrame:
     return lines.select(strip(F.col(column)).alias("word")).filter(F.col("word") != "").distinct()
 
 
-def read_words(spark: SparkSession, path: str) -> DataFrame:
-    """word: of the lexicon files at path, one word a line."""
-    return words_of(spark.read.text(path))
+def read_words(spark: SparkSession, path: str, pattern: str = "*", without_file: str | None = None) -> DataFrame:
+    """word: of the lexicon files at path, one word a line; bytes that are not UTF-8 are left out, a missing path gives no words.
+
+    ``pattern`` chooses files by name, and ``without_file`` is passed over.
+    """
+    try:
+        files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], "word string")
+    if without_file:
+        files = files.filter(~F.endswith(F.col("path"), F.lit("/" + without_file.strip("/"))))
+    return words_of(files.select(F.explode(F.split(decode_utf8("content"), r"\r\n|\r|\n", -1)).alias("value")))
 
 
 def merge(lists: list[DataFrame], sort: bool = True) -> DataFrame:
@@ -140,17 +156,48 @@ def mask(c: Column, words: list[str], sign: str = "*") -> Column:
     return cover(low)
 
 
+def automaton(words: list[str]) -> ahocorasick.Automaton:
+    a = ahocorasick.Automaton()
+    for w in words:
+        a.add_word(w, w)
+    if words:
+        a.make_automaton()
+    return a
+
+
+def occurrences(a: ahocorasick.Automaton, text: str) -> list[tuple[int, str]]:
+    """First character (from 0) and word of every occurrence, overlapping ones too, by place and length; one pass over the text."""
+    return sorted((end - len(w) + 1, w) for end, w in a.iter(text)) if len(a) else []
+
+
 def all_matches(df: DataFrame, key: str, text: str, words: DataFrame) -> DataFrame:
     """key, pos, word of every occurrence of every word, overlapping ones too, case kept; pos is the first character's, from 0.
 
-    Substrings of each length that the lexicon has are joined to it; the lexicon's lengths come to
-    the driver.
+    Each row's matches stand under its key, also where keys repeat or are null. Null and empty texts
+    have none. A lexicon of up to AUTOMATON_WORDS goes to the workers as one automaton; substrings of
+    each length that a larger one has are joined to it.
     """
-    lengths = sorted(r["n"] for r in words.select(F.length("word").alias("n")).distinct().collect() if r["n"])
+    words = words.select("word").filter(F.length("word") > 0).distinct()
     src = df.select(F.col(f"`{key}`").alias(key), F.col(f"`{text}`").alias("__t"))
-    spot = src.select(key, "__t", F.explode(F.sequence(F.lit(0), F.length("__t") - 1)).alias("pos")).filter("pos >= 0")
-    out = spot.select(key, "pos", F.explode(F.array(*[F.when(F.col("pos") + n <= F.length("__t"), F.substr("__t", F.col("pos") + 1, F.lit(n))) for n in lengths])).alias("word")) if lengths else spot.select(key, "pos", F.lit("").alias("word"))
-    return out.join(words.select("word").distinct(), "word").select(key, "pos", "word")
+    listed = [r["word"] for r in words.limit(AUTOMATON_WORDS + 1).collect()]
+    if len(listed) <= AUTOMATON_WORDS:
+        kind = src.schema[0].dataType
+        schema = T.StructType([T.StructField("key", kind), T.StructField("pos", T.IntegerType()), T.StructField("word", T.StringType())])
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            a = automaton(listed)
+            for b in batches:
+                for k in range(0, b.num_rows, 64):
+                    part = b.slice(k, 64)
+                    found = [occurrences(a, t or "") for t in part.column(1).to_pylist()]
+                    rows = pa.array([i for i, f in enumerate(found) for _ in f], pa.int64())
+                    yield pa.RecordBatch.from_arrays([part.column(0).take(rows), pa.array([p for f in found for p, _ in f], pa.int32()), pa.array([w for f in found for _, w in f], pa.string())], names=["key", "pos", "word"])
+
+        return src.toDF("key", "text").mapInArrow(run, schema).toDF(key, "pos", "word")
+    lengths = sorted(r["n"] for r in words.select(F.length("word").alias("n")).distinct().collect())
+    spot = src.filter(F.length("__t") > 0).select(key, "__t", F.explode(F.sequence(F.lit(0), F.length("__t") - 1)).alias("pos"))
+    out = spot.select(key, "pos", F.explode(F.array(*[F.when(F.col("pos") + n <= F.length("__t"), F.substr("__t", F.col("pos") + 1, F.lit(n))) for n in lengths])).alias("word"))
+    return out.join(words, "word").select(key, "pos", "word")
 
 
 def naive_filter(c: Column, words: list[str], sign: str = "*") -> Column:
@@ -196,18 +243,13 @@ def all_found(c: Column, words: list[str]) -> Column:
 
     @F.arrow_udf(T.StructType([T.StructField("words", T.ArrayType(T.StringType())), T.StructField("total", T.LongType())]))
     def scan(texts: pa.Array) -> pa.Array:
-        trie = Trie(listed)
+        a = automaton(listed)
 
         def one(t: str) -> dict:
-            found = []
-            for i in range(len(t)):
-                at, j = trie.root, i
-                while j < len(t) and (at := at.get(t[j])) is not None:
-                    j += 1
-                    if Trie.END in at:
-                        found.append(t[i:j])
+            found = [w for _, w in occurrences(a, t)]
             times = Counter(found)
-            return {"words": found, "total": sum(k for line in t.split("\n") if line.strip() for w, k in times.items() if w in line)}
+            total = sum(times[w] for line in t.split("\n") if line.strip() for w in {w for _, w in a.iter(line)}) if times else 0
+            return {"words": found, "total": total}
 
         return pa.array([None if t is None else one(t) for t in texts.to_pylist()], pa.struct([("words", pa.list_(pa.string())), ("total", pa.int64())]))
 
@@ -237,15 +279,18 @@ def density(c: Column, words: list[str] | None, config: FeatureConfig = FeatureC
 
 
 def all_density(df: DataFrame, key: str, text: str, words: DataFrame, config: FeatureConfig = FeatureConfig()) -> DataFrame:
-    """key, feature_count, avg_per_line, feature_passed in the mode of all matches: each match counts once for every line that has its word."""
-    found = all_matches(df, key, text, words).groupBy(key, "word").agg(F.count(F.lit(1)).alias("k"))
-    lines = df.select(F.col(f"`{key}`").alias(key), F.explode(F.filter(python_lines(F.col(f"`{text}`")), lambda x: ~blank(x))).alias("line"))
-    hit = lines.join(found, key).filter(F.contains("line", F.col("word"))).groupBy(key).agg(F.sum("k").alias("total"))
-    long = lines.groupBy(key).agg(F.sum(F.when(F.length(strip(F.col("line"))) >= 5, 1).otherwise(0)).alias("long"))
-    counts = found.groupBy(key).agg(F.sum("k").alias("feature_count"))
-    out = df.select(F.col(f"`{key}`").alias(key)).join(counts, key, "left").join(hit, key, "left").join(long, key, "left")
-    avg = F.coalesce(F.try_divide(F.col("total"), F.col("long")), F.lit(0.0))
-    return out.select(key, F.coalesce("feature_count", F.lit(0)).alias("feature_count"), avg.alias("avg_per_line"), (avg <= config.max_feature_words_per_line).alias("feature_passed"))
+    """key, feature_count, avg_per_line, feature_passed of each row in the mode of all matches: each match counts once for every line that has its word.
+
+    Rows stand for themselves, also where keys repeat or are null. A null text has no matches and passes.
+    """
+    listed = [r["word"] for r in words.select("word").filter(F.length("word") > 0).distinct().limit(AUTOMATON_WORDS + 1).collect()]
+    if len(listed) > AUTOMATON_WORDS:
+        raise ValueError(f"a lexicon of more than {AUTOMATON_WORDS} words")
+    t = F.coalesce(F.col(f"`{text}`"), F.lit(""))
+    every = all_found(t, listed)
+    lines = F.size(F.filter(python_lines(t), lambda x: F.length(strip(x)) >= 5))
+    x = df.select(F.col(f"`{key}`").alias(key), F.size(every["words"]).cast("long").alias("feature_count"), F.coalesce(F.try_divide(every["total"], lines), F.lit(0.0)).alias("avg_per_line"))
+    return x.withColumn("feature_passed", F.col("avg_per_line") <= config.max_feature_words_per_line)
 
 
 def feature_score(c: Column, found: Column) -> Column:

@@ -31,7 +31,10 @@ def cosine(a: Column, b: Column) -> Column:
 
 
 def _numbered(df: DataFrame, key: str, vector: str, n: int) -> DataFrame:
-    return df.select(F.col(key).cast("long").alias("id"), F.col(vector).cast("array<double>").alias("v")).filter(F.col("v").isNotNull()).withColumn("block", F.pmod(F.xxhash64("id"), F.lit(n)))
+    """id, v, d (its length), block; vectors that are null or hold a null or no finite number take no part. Vectors of unlike lengths have no cosine and never meet."""
+    x = df.select(F.col(f"`{key}`").cast("long").alias("id"), F.col(f"`{vector}`").cast("array<double>").alias("v"))
+    whole = ~F.exists("v", lambda e: e.isNull() | F.isnan(e) | (F.abs(e) == F.lit(float("inf"))))
+    return x.filter(F.col("v").isNotNull() & whole).withColumn("d", F.size("v")).withColumn("block", F.pmod(F.xxhash64("id"), F.lit(n)))
 
 
 def _matrix(t: pa.Table, column: str) -> np.ndarray:
@@ -45,11 +48,14 @@ def block_count(df: DataFrame, size: int = BLOCK) -> int:
 
 
 def similar_pairs(df: DataFrame, key: str, vector: str, threshold: float, size: int = BLOCK) -> DataFrame:
-    """a, b, cos of all pairs a < b with a cosine of at least the threshold; zero vectors have cosine 0."""
+    """a, b, cos of all pairs a < b with a cosine of at least the threshold; zero vectors have cosine 0.
+
+    Rows of equal ids make no pair with each other. See ``_numbered`` for vectors that take no part.
+    """
     n = block_count(df, size)
     x = _numbered(df, key, vector, n)
     others = F.transform(F.sequence(F.lit(0), F.lit(n - 1)), lambda o: F.struct(F.least(o.cast("long"), F.col("block")).alias("p"), F.greatest(o.cast("long"), F.col("block")).alias("q")))
-    dealt = x.select("id", "v", "block", F.explode(others).alias("o")).select("id", "v", "block", "o.p", "o.q")
+    dealt = x.select("id", "v", "d", "block", F.explode(others).alias("o")).select("id", "v", "d", "block", "o.p", "o.q")
 
     def run(t: pa.Table) -> pa.Table:
         p, q = t.column("p")[0].as_py(), t.column("q")[0].as_py()
@@ -62,17 +68,20 @@ def similar_pairs(df: DataFrame, key: str, vector: str, threshold: float, size:
         i, j = np.nonzero((s >= threshold) & ((a[:, None] < b[None, :]) if p == q else (a[:, None] != b[None, :])))
         return pa.table({"a": pa.array(np.minimum(a[i], b[j])), "b": pa.array(np.maximum(a[i], b[j])), "cos": pa.array(s[i, j])})
 
-    return dealt.groupBy("p", "q").applyInArrow(run, "a long, b long, cos double")
+    return dealt.groupBy("d", "p", "q").applyInArrow(run, "a long, b long, cos double")
 
 
 def duplicate_ratio(queries: DataFrame, corpus: DataFrame, key: str, vector: str, exclude_self: bool = False, size: int = BLOCK) -> DataFrame:
-    """id, duplicate_ratio: each query's largest cosine with the corpus; 0 for an empty corpus."""
+    """id, duplicate_ratio: each query's largest cosine with the corpus, whatever the blocks; 0 where the corpus has no vector of its length.
+
+    Queries of equal ids are one, with the largest. See ``_numbered`` for vectors that take no part.
+    """
     nq, nc = block_count(queries, size), block_count(corpus, size)
-    q = _numbered(queries, key, vector, nq).withColumn("o", F.explode(F.sequence(F.lit(0), F.lit(nc - 1)))).select("id", "v", "block", F.col("o").cast("long").alias("o"))
-    c = _numbered(corpus, key, vector, nc).withColumn("o", F.explode(F.sequence(F.lit(0), F.lit(nq - 1)))).select("id", "v", F.col("o").cast("long").alias("block"), F.col("block").alias("o"))
+    q = _numbered(queries, key, vector, nq).withColumn("o", F.explode(F.sequence(F.lit(0), F.lit(nc - 1)))).select("id", "v", "d", "block", F.col("o").cast("long").alias("o"))
+    c = _numbered(corpus, key, vector, nc).withColumn("o", F.explode(F.sequence(F.lit(0), F.lit(nq - 1)))).select("id", "v", "d", F.col("o").cast("long").alias("block"), F.col("block").alias("o"))
 
     def run(a: pa.Table, b: pa.Table) -> pa.Table:
-        best = np.zeros(a.num_rows)
+        best = np.full(a.num_rows, -np.inf)  # an empty block says nothing
         if a.num_rows and b.num_rows:
             s = _matrix(a, "v") @ _matrix(b, "v").T
             if exclude_self:
@@ -80,7 +89,7 @@ def duplicate_ratio(queries: DataFrame, corpus: DataFrame, key: str, vector: str
             best = s.max(axis=1)
         return pa.table({"id": a.column("id").cast(pa.int64()), "r": pa.array(best)})
 
-    part = q.groupBy("block", "o").cogroup(c.groupBy("block", "o")).applyInArrow(run, "id long, r double")
+    part = q.groupBy("d", "block", "o").cogroup(c.groupBy("d", "block", "o")).applyInArrow(run, "id long, r double")
     return part.groupBy("id").agg(F.max("r").alias("r")).select("id", F.when(F.col("r") == float("-inf"), 0.0).otherwise(F.col("r")).alias("duplicate_ratio"))
 
 
@@ -131,8 +140,8 @@ def kmeans(df: DataFrame, key: str, vector: str, k: int, seed: int = 42) -> Data
 def top_similar(queries: DataFrame, index: DataFrame, key: str, vector: str, k: int = 10, size: int = BLOCK) -> DataFrame:
     """query_id, rank, id, cos: each query's k most similar rows of a vector index, by blocks."""
     nq, nc = block_count(queries, size), block_count(index, size)
-    q = _numbered(queries, key, vector, nq).withColumn("o", F.explode(F.sequence(F.lit(0), F.lit(nc - 1)))).select("id", "v", "block", F.col("o").cast("long").alias("o"))
-    c = _numbered(index, key, vector, nc).withColumn("o", F.explode(F.sequence(F.lit(0), F.lit(nq - 1)))).select("id", "v", F.col("o").cast("long").alias("block"), F.col("block").alias("o"))
+    q = _numbered(queries, key, vector, nq).withColumn("o", F.explode(F.sequence(F.lit(0), F.lit(nc - 1)))).select("id", "v", "d", "block", F.col("o").cast("long").alias("o"))
+    c = _numbered(index, key, vector, nc).withColumn("o", F.explode(F.sequence(F.lit(0), F.lit(nq - 1)))).select("id", "v", "d", F.col("o").cast("long").alias("block"), F.col("block").alias("o"))
 
     def run(a: pa.Table, b: pa.Table) -> pa.Table:
         rows: list[tuple] = []
@@ -142,7 +151,7 @@ def top_similar(queries: DataFrame, index: DataFrame, key: str, vector: str, k:
                 rows += [(x, int(ids[j]), float(s[i, j])) for j in np.lexsort((ids, -s[i]))[:k]]
         return pa.table({"query_id": pa.array([r[0] for r in rows], pa.int64()), "id": pa.array([r[1] for r in rows], pa.int64()), "cos": pa.array([r[2] for r in rows], pa.float64())})
 
-    part = q.groupBy("block", "o").cogroup(c.groupBy("block", "o")).applyInArrow(run, "query_id long, id long, cos double")
+    part = q.groupBy("d", "block", "o").cogroup(c.groupBy("d", "block", "o")).applyInArrow(run, "query_id long, id long, cos double")
     best = Window.partitionBy("query_id").orderBy(F.desc("cos"), "id")
     return part.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)
 

@@ -67,6 +67,22 @@ def test_pairs_do_not_depend_on_blocks(spark):
     assert a == b and a
 
 
+def test_ratio_does_not_depend_on_blocks(spark):
+    rows = [(0, [1.0, 0.0])] + [(i, [-1.0, 1.0 + i / 10]) for i in range(1, 6)]
+    df = spark.createDataFrame(rows, "id long, v array<double>")
+    want = {r["id"]: r["duplicate_ratio"] for r in similarity.duplicate_ratio(df, df, "id", "v", True).collect()}
+    assert want[0] < -0.5
+    assert {r["id"]: r["duplicate_ratio"] for r in similarity.duplicate_ratio(df, df, "id", "v", True, 1).collect()} == pytest.approx(want)
+
+
+def test_odd_vectors(spark):
+    rows = [(0, [1.0, 0.0]), (1, [1.0, 0.1]), (2, [1.0]), (3, [2.0]), (4, None), (5, [None, 1.0]), (6, [float("nan"), 1.0])]
+    df = spark.createDataFrame(rows, "id long, v array<double>")
+    assert sorted((r["a"], r["b"]) for r in similarity.similar_pairs(df, "id", "v", 0.9).collect()) == [(0, 1), (2, 3)]
+    assert sorted(r["id"] for r in similarity.duplicate_ratio(df, df, "id", "v", True).collect()) == [0, 1, 2, 3]
+    assert {(r["query_id"], r["id"]) for r in similarity.top_similar(df, df, "id", "v").collect()} == {(a, b) for g in ((0, 1), (2, 3)) for a in g for b in g}
+
+
 def test_components(spark):
     edges = [(i, i + 1) for i in range(20)] + [(100, 101), (101, 100), (7, 7), (50, 40)]
     got = {r["v"]: r["c"] for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}

@@ -56,6 +56,38 @@ def test_all_matches(spark):
     assert sorted(tuple(r) for r in lexicon.all_matches(df, "id", "t", words).collect()) == [(1, 0, "abcd"), (1, 1, "bc")]
 
 
+def test_all_matches_of_odd_rows(spark, monkeypatch):
+    rng = random.Random(5)
+    words = ["".join(rng.choice("ab中") for _ in range(rng.randint(1, 4))) for _ in range(12)]
+    rows = [(1, "abab中ab"), (1, "b"), (None, "aa中"), (None, None), (2, ""), (3, "ab中" * 2000)]
+    df = spark.createDataFrame(rows, "id long, t string")
+    lex = spark.createDataFrame([(w,) for w in [*words, words[0], ""]], "word string")
+    want = sorted((str(k), i, w) for k, t in rows for w in set(words) for i in range(len(t or "")) if (t or "").startswith(w, i))
+    for limit in (1000, 1):
+        monkeypatch.setattr(lexicon, "AUTOMATON_WORDS", limit)
+        assert sorted((str(r["id"]), r["pos"], r["word"]) for r in lexicon.all_matches(df, "id", "t", lex).collect()) == want
+    monkeypatch.setattr(lexicon, "AUTOMATON_WORDS", 1000)
+    ab = spark.createDataFrame([("ab",)], "word string")
+    assert sorted((str(r["id"]), r["feature_count"], r["feature_passed"]) for r in lexicon.all_density(df, "id", "t", ab).collect()) == [("1", 0, True), ("1", 3, False), ("2", 0, True), ("3", 2000, False), ("None", 0, True), ("None", 0, True)]
+
+
+def test_long_texts_are_matched_in_one_pass(spark):
+    import time
+
+    df = spark.range(1).select("id", F.repeat(F.lit("abcdefghij"), 100_000).alias("t"))
+    start = time.time()
+    assert lexicon.all_matches(df, "id", "t", spark.createDataFrame([("cde",), ("jab",)], "word string")).count() == 199_999
+    assert time.time() - start < 30
+
+
+def test_missing_lexicon(spark, tmp_path):
+    assert lexicon.read_words(spark, str(tmp_path / "none")).count() == 0
+    (tmp_path / "a.txt").write_bytes(b"x\xff\r\ny\n")
+    (tmp_path / "out.txt").write_text("z")
+    (tmp_path / "b.md").write_text("w")
+    assert sorted(r[0] for r in lexicon.read_words(spark, str(tmp_path), "*.txt", "out.txt").collect()) == ["x", "y"]
+
+
 def test_density(spark):
     x = spark.createDataFrame([("xx\nabcde\n",)], "t string").select(*[c.alias(k) for k, c in lexicon.density(F.col("t"), ["xx"]).items()]).first()
     assert (x["feature_count"], x["avg_per_line"], x["feature_passed"]) == (1, 1.0, False)
