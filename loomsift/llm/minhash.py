@@ -21,8 +21,6 @@ BANDS = 40
 ROWS = 6
 #: Words of the documents that are signed together.
 BATCH_WORDS = 200_000
-#: Bands that are gone through first; most of what is alike is then connected, and the open buckets of all bands are the fewer.
-FIRST = 6
 #: Members that a centre's text is sent along with, about.
 CHUNK = 512
 #: Rounds in which the members of a bucket are held against one of them, before those still open are compared in blocks.
@@ -277,47 +275,48 @@ def relabel(labels: DataFrame, good: DataFrame) -> DataFrame:
 def links(signed: DataFrame, docs: DataFrame, similarity: float = SIMILARITY, size: int = SHINGLE, rounds: int = ROUNDS) -> DataFrame:
     """v, c: the component of each bag that shares a bucket with another.
 
-    At first each bag is held against one other: of its buckets in FIRST bands it takes the
-    largest, and there the member that shares most buckets with others, the centre; what is alike
-    becomes one component. From then on come only buckets, of all bands, whose members are not all
-    in one component yet. In each of ``rounds`` rounds such a bucket has a centre, a member of the
-    component that has most members there, and only the members of other components are held
-    against it. The members of buckets that are open after that are compared in blocks. So every
-    pair of a bucket is either compared or already connected.
+    At first each bag is held against one other: in the largest of its buckets the member that
+    shares most buckets with others, the centre; what is alike becomes one component. From then on
+    come only buckets whose members are not all in one component yet. In each of ``rounds`` rounds
+    such a bucket has a centre, a member of the component that has most members there, and only the
+    members of other components are held against it. The members of buckets that are open after that
+    are compared in blocks. So every pair of a bucket is either compared or already connected.
+    Joins are made the same way at every size.
     """
     bag = signed.filter(F.col("bag").isNotNull()).groupBy(F.col("bag").alias("v")).agg(F.first("bands").alias("bands"), F.min(F.struct("k1", "k2")).alias("k"))
     bag = stage(bag, "nd-bags")
-    sizes = stage(bag.select(F.explode("bands").alias("bucket")).groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).filter(F.col("size") > 1), "nd-buckets")
     all_ = bag.select("v", F.explode("bands").alias("bucket"))
-    first = stage(bag.select("v", F.explode(F.slice("bands", 1, FIRST)).alias("bucket")).join(sizes, "bucket"), "nd-members")
-    some = stage(all_.join(sizes, "bucket", "left_semi").groupBy("v").agg(F.lit(1).alias("one")).select("v"), "nd-some")
-    keys = some.join(bag.select("v", "k.k1", "k.k2"), "v")
+    sizes = stage(all_.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).filter(F.col("size") > 1), "nd-buckets")
+    members = stage(all_.hint("merge").join(sizes, "bucket"), "nd-members")
+    score = stage(members.groupBy("v").agg(F.sum("size").alias("score"), F.max(F.struct("size", "bucket")).alias("largest")), "nd-scores")
+    keys = score.select("v").hint("merge").join(bag.select("v", "k.k1", "k.k2"), "v")
     src = docs.select(*row_key("doc_id", "text"), "text")
     texts = stage(src.join(keys.hint("merge"), ["k1", "k2"]).select("v", "text").dropDuplicates(["v"]), "nd-texts")
 
     def held_against(members: DataFrame, centre: DataFrame) -> DataFrame:
-        pairs = members.select("bucket", F.col("v").alias("b"), F.col("c").alias("cb")).join(centre, "bucket").filter(F.col("ca") != F.col("cb"))
+        pairs = members.select("bucket", F.col("v").alias("b"), F.col("c").alias("cb")).hint("merge").join(centre, "bucket").filter(F.col("ca") != F.col("cb"))
         return verify(pairs.select("a", "b", "ca", "cb").distinct(), texts, similarity, size)
 
-    score = stage(first.groupBy("v").agg(F.sum("size").alias("score"), F.max(F.struct("size", "bucket")).alias("largest")), "nd-scores")
-    ranks = first.join(score, "v").groupBy("bucket").agg(F.max(F.struct("score", "v")).alias("r"))
-    centre = stage(ranks.select("bucket", F.col("r.v").alias("a"), F.col("r.v").alias("ca")), "nd-centres")
-    labels = some.select("v", F.col("v").alias("c"))
-    labels = relabel(labels, held_against(score.select("largest.bucket", "v", F.col("v").alias("c")), centre))
+    members = stage(members.hint("merge").join(score.select("v", "score"), "v").select("bucket", "v", "score"), "nd-ranked")
+    top = members.groupBy("bucket").agg(F.max(F.struct("score", "v")).alias("r"))
+    centre = stage(top.select("bucket", F.col("r.v").alias("a"), F.col("r.v").alias("ca")), "nd-centres")
+    labels = relabel(score.select("v", F.col("v").alias("c")), held_against(score.select("largest.bucket", "v", F.col("v").alias("c")), centre))
     for k in range(rounds + 1):
-        order = F.coalesce("score", F.lit(0)) if k == 0 else F.xxhash64("v", F.lit(k))
-        members = bag.select("v", "bands").join(labels, "v").join(score, "v", "left").select("v", "c", order.alias("rank"), F.explode("bands").alias("bucket"))
-        parts = members.groupBy("bucket", "c").agg(F.count(F.lit(1)).alias("n"), F.max(F.struct("rank", "v")).alias("top"))
+        order = F.col("score") if k == 0 else F.xxhash64("v", F.lit(k))
+        found = members.hint("merge").join(labels, "v").select("bucket", "v", "score", "c", order.alias("rank"))
+        parts = found.groupBy("bucket", "c").agg(F.count(F.lit(1)).alias("n"), F.max(F.struct("rank", "v")).alias("top"))
         most = parts.groupBy("bucket").agg(F.count(F.lit(1)).alias("parts"), F.sum("n").alias("all"), F.max(F.struct("n", "c", "top")).alias("m")).filter("parts > 1")
         if k:
             most = most.filter("all > 2")  # two members have been held against each other
         centre = stage(most.select("bucket", F.col("m.top.v").alias("a"), F.col("m.c").alias("ca")), "nd-open")
         if not centre.limit(1).count():
             break
+        found = stage(found.hint("merge").join(centre.select("bucket"), "bucket", "left_semi"), "nd-left")
         if k < rounds:
-            labels = relabel(labels, held_against(members, centre))
+            labels = relabel(labels, held_against(found, centre))
+            members = found.select("bucket", "v", "score")
         else:
-            labels = relabel(labels, compare_blocks(members.join(centre, "bucket", "left_semi").select("bucket", "v", "c"), texts, similarity, size))
+            labels = relabel(labels, compare_blocks(found.select("bucket", "v", "c"), texts, similarity, size))
     return labels
 
 
