@@ -69,8 +69,10 @@ def mark_revisits(pages: DataFrame, least: int = LEAST) -> DataFrame:
     is_keeper = F.coalesce(F.col("page_id") == F.col("__keeper"), F.lit(False)) & F.col("url").eqNullSafe(F.col("__keeper_url"))
     own = is_keeper | F.col("__keeper").isNull()
     plain = x.filter(~is_keeper | (F.col("__n_same") == 1)).select("page_id", "url", "html", F.lit(0).alias("copy"), F.when(~own, F.col("__keeper")).alias("keeper"), F.when(~own, F.col("__keeper_url")).alias("keeper_url"))
-    # rows that equal the keeper in all columns: one payload for them, and their numbers
-    same = x.filter(is_keeper & (F.col("__n_same") > 1)).groupBy("page_id", "url", "__digest").agg(F.first("html").alias("html"), F.count(F.lit(1)).cast("int").alias("n"))
+    # rows that equal the keeper in all columns, which are few or none: one payload for them, and their numbers
+    many = stage(kept.filter("__n_same > 1"), "warc-same")
+    same = long.join(many, (F.col("__digest") == F.col("__same")) & (F.col("page_id") == F.col("__keeper")) & F.col("url").eqNullSafe(F.col("__keeper_url")))
+    same = same.groupBy("page_id", "url", "__digest").agg(F.first("html").alias("html"), F.count(F.lit(1)).cast("int").alias("n"))
     same = same.select("page_id", "url", F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("copy"), "html")
     again = F.col("copy") > 0
     same = same.select("page_id", "url", "html", "copy", F.when(again, F.col("page_id")).alias("keeper"), F.when(again, F.col("url")).alias("keeper_url"))
