@@ -36,7 +36,7 @@ COVERAGE = 0.5
 #: Rows that they hold at least for each neighbour asked for, if there are so many; so a few candidates are all found.
 FLOOR = 10
 #: Rows of a block, and queries of a chunk.
-BLOCK = 2048
+BLOCK = 4096
 CHUNK = 4096
 #: Queries whose scores are held at once.
 AT_ONCE = 256
