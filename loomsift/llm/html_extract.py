@@ -265,7 +265,11 @@ class Page:
         return [k for k in scores if self.paths[k] == path] or [0]
 
     def main(self, path: int | None = None) -> str:
-        """The text of the chosen containers, and of what encloses them, in page order.
+        """The text of the containers that are chosen with the path."""
+        return self.text(self.chosen(path))
+
+    def text(self, chosen: list[int]) -> str:
+        """The text of these containers, and of what encloses them, in page order.
 
         Of enclosing containers, up to an article or main, come the blocks of their own that are
         headings or have a word outside links.
@@ -273,7 +277,7 @@ class Page:
         owner, box = self.owner, self.box
         outer: set[int] = set()
         take: set[int] = set()
-        for k in self.chosen(path):
+        for k in chosen:
             take.update(i for i in range(self.starts[k], self.ends[k]) if owner[i] >= 0)
             while k and self.tags[k] not in BONUS and (k := box[self.parents[k]]) not in outer:
                 outer.add(k)
@@ -366,8 +370,9 @@ def extract(pages: DataFrame) -> DataFrame:
             texts, paths = [], []
             for path, markup in zip(b.column(len(out) + 1).to_pylist(), b.column(len(out) + 2), strict=True):
                 page = Page(markup.as_py() or "")
-                texts.append(page.main(path))
-                paths.append(page.path(page.chosen(path)[0]))
+                chosen = page.chosen(path)
+                texts.append(page.text(chosen))
+                paths.append(page.path(chosen[0]))
             yield pa.RecordBatch.from_arrays([*b.columns[:-2], pa.array(paths, pa.string()), pa.array(texts, pa.string()), pa.array(map(len, texts), pa.int64())], names=schema.names)
 
     return positional(src.select(*[F.col(f"`{c}`") for c in out], "host", "path", "__html")).mapInArrow(frugal(run), schema)
