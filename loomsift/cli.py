@@ -41,7 +41,7 @@ def main(argv: list[str] | None = None) -> None:
     a = parser().parse_args(argv)
     spark = SparkSession.builder.appName("loomsift").getOrCreate()
     if a.command == "merge-words":
-        write_lexicon(merge([read_words(spark, a.input_dir)], not a.no_sort), a.output_file)
+        write_lexicon(merge([read_words(spark, a.input_dir, "*.txt", a.output_file.rsplit("/", 1)[-1])], not a.no_sort), a.output_file, not a.no_sort)
         return
     words = [r["word"] for r in read_words(spark, a.words).collect()] if a.words else None
     if a.command == "filter":

@@ -51,9 +51,10 @@ def write_stats(stats: DataFrame, path: str) -> None:
     stats.coalesce(1).write.mode("overwrite").json(path)
 
 
-def write_lexicon(words: DataFrame, path: str) -> None:
-    """One word a line, in code point order."""
-    words.select("word").coalesce(1).sortWithinPartitions("word").write.mode("overwrite").text(path)
+def write_lexicon(words: DataFrame, path: str, sort: bool = True) -> None:
+    """One word a line, in code point order or in none."""
+    one = words.select("word").coalesce(1)
+    (one.sortWithinPartitions("word") if sort else one).write.mode("overwrite").text(path)
 
 
 def read_vectors(spark: SparkSession, path: str) -> DataFrame:

@@ -3,7 +3,7 @@ import json
 
 from pyspark.sql import functions as F
 
-from loomsift.cli import parser
+from loomsift.cli import main, parser
 from loomsift.operators import html, lang, perplexity
 from loomsift.plans import pipelines
 from loomsift.sources import files
@@ -114,6 +114,16 @@ def test_sinks(spark, tmp_path):
     assert json.loads(next((tmp_path / "s").glob("part*")).read_text()) == {"n": 1}
 
 
+def test_merge_words(spark, tmp_path):
+    (tmp_path / "w").mkdir()
+    (tmp_path / "w" / "a.txt").write_text("b\na\n")
+    (tmp_path / "w" / "c.md").write_text("no")
+    for flags in ([], ["--no-sort"]):
+        main(["merge-words", "-i", str(tmp_path / "w"), "-o", str(tmp_path / "w" / "out.txt"), *flags])
+        got = [r[0] for r in spark.read.text(str(tmp_path / "w" / "out.txt")).collect()]
+        assert sorted(got) == ["a", "b"] and (flags or got == ["a", "b"])
+
+
 def test_command_line():
     a = parser().parse_args(["process", "--input-dir", "x", "--vectorize"])
     assert a.vectorize and not a.filter_quality and a.file_pattern == "*.txt"
