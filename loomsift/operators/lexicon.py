@@ -293,6 +293,11 @@ def all_density(df: DataFrame, key: str, text: str, words: DataFrame, config: Fe
     return x.withColumn("feature_passed", F.col("avg_per_line") <= config.max_feature_words_per_line)
 
 
+def denied(c: Column) -> Column:
+    """Whether one of the words that DENIAL ends in is in a text, without which no phrase denies."""
+    return F.contains(c, F.lit("色情")) | F.contains(c, F.lit("赌博")) | F.contains(c, F.lit("广告"))
+
+
 def feature_score(c: Column, found: Column) -> Column:
     """Score of a text from its matches: fewer, and none of the heavy kind, score more; an empty text scores 0."""
     n = F.length(c)
@@ -311,5 +316,5 @@ def feature_score(c: Column, found: Column) -> Column:
         return F.when(denies & (ratio < 0.05), F.greatest(tier, F.lit(0.8))).otherwise(tier)
 
     q = F.try_divide((unlike + bind(F.lower(c), heavy)).cast("double"), n / F.lit(10))
-    score = bind(F.struct(q.alias("q"), c.rlike(DENIAL).alias("denies")), tiers)
+    score = bind(F.struct(q.alias("q"), (denied(c) & c.rlike(DENIAL)).alias("denies")), tiers)
     return F.when(F.coalesce(n, F.lit(0)) == 0, F.lit(0.0)).otherwise(score)

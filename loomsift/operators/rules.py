@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from loomsift.config import RuleConfig
-from loomsift.functions.text import ANY_URL, CJK, EMOJI, WS, python_lines
+from loomsift.functions.text import ANY_URL_ONCE, CJK, EMOJI, WS, python_lines
 
 # Patterns of search spam, and weights of the rules in the order of their sum.
 SPAM = (
@@ -19,6 +22,11 @@ SPAM = (
     r"日本[WS]*韩国[WS]*欧美",
 )
 MORE_SPAM = (*SPAM, r"激情[WS]*小说", r"成人[WS]*视频", r"在线[WS]*观看", r"一本[WS]*道", r"中文[WS]*字幕")
+#: Every match of a pattern of SPAM, or of those added in MORE_SPAM, has one of these.
+SPAM_SIGNS = ("区", "在", "久", "日")
+MORE_SPAM_SIGNS = (*SPAM_SIGNS, "激", "成", "道", "中")
+#: Texts from this length on are hashed to count their strings; below, a set is faster.
+HASHED = 256
 WEIGHTS = (("length", 0.05), ("avg_line", 0.10), ("chinese", 0.15), ("symbol", 0.10), ("dup", 0.10), ("bar", 0.20), ("comma", 0.10), ("url", 0.10), ("emoji", 0.10))
 #: Spam: bar ratio and URL density above these, and what the score is then multiplied by.
 SPAM_BAR, SPAM_URL, SPAM_FACTOR = 0.01, 0.03, 0.3
@@ -32,6 +40,55 @@ def count(c: Column, pattern: str) -> Column:
     return F.regexp_count(c, F.lit(pattern))
 
 
+def having(c: Column, signs: tuple[str, ...]) -> Column:
+    """Whether any of the strings is in a text."""
+    out = F.contains(c, F.lit(signs[0]))
+    for x in signs[1:]:
+        out = out | F.contains(c, F.lit(x))
+    return out
+
+
+def spam_match(c: Column, more: bool = False) -> Column:
+    """Whether a pattern of SPAM, or MORE_SPAM, matches; only texts with a sign of them are searched."""
+    return having(c, MORE_SPAM_SIGNS if more else SPAM_SIGNS) & c.rlike(any_of(MORE_SPAM if more else SPAM))
+
+
+def url_count(c: Column) -> Column:
+    """Matches of ANY_URL; only texts with a sign of a URL are searched."""
+    some = having(c, ("://", "www.")) | c.rlike(r"\.[a-zA-Z]{2}")
+    return F.when(some, count(c, ANY_URL_ONCE)).otherwise(F.when(c.isNotNull(), 0))
+
+
+def distinct_strings(text: str, k: int) -> int:
+    """How many different strings of k characters a text has: by sorted hashes, each equal pair of which is compared."""
+    m = len(text) - k + 1
+    if m < HASHED:
+        return len({text[i : i + k] for i in range(m)})
+    chars = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
+    h = np.zeros(m, np.uint64)
+    for i in range(k):
+        h *= np.uint64(0x9E3779B97F4A7C15)
+        h += chars[i : i + m]
+    h ^= h >> np.uint64(32)
+    order = np.argsort(h)
+    ranked = h[order]
+    same = np.flatnonzero(ranked[1:] == ranked[:-1])
+    a, b = order[same], order[same + 1]
+    if all((chars[a + i] == chars[b + i]).all() for i in range(k)):
+        return m - len(same)
+    return len({text[i : i + k] for i in range(m)})
+
+
+def distinct_grams(c: Column, k: int) -> Column:
+    """distinct_strings of each text; null for null."""
+
+    @F.arrow_udf(T.LongType())
+    def run(texts: pa.Array) -> pa.Array:
+        return pa.array([None if not t.is_valid else distinct_strings(t.as_py(), k) for t in texts], pa.int64())
+
+    return run(c)
+
+
 def metrics(df: DataFrame, text: str = "text", k: int = 13) -> DataFrame:
     """The rows with n, avg_line, and the ratios of the rules; ratios of empty texts are null.
 
@@ -42,7 +99,7 @@ def metrics(df: DataFrame, text: str = "text", k: int = 13) -> DataFrame:
     n = F.length(t)
     lines = F.filter(python_lines(t), lambda x: x.rlike(rf"[^{WS}]"))
     length = F.aggregate(lines, F.lit(0), lambda a, x: a + F.length(x))
-    grams = F.size(F.array_distinct(F.regexp_extract_all(t, F.lit(f"(?s)(?=(.{{{k}}}))."), F.lit(1))))
+    grams = distinct_grams(t, k)
     out = {
         "n": n,
         "avg_line": F.try_divide(length, F.size(lines)),
@@ -51,9 +108,9 @@ def metrics(df: DataFrame, text: str = "text", k: int = 13) -> DataFrame:
         "dup_ratio": F.when(n >= k, F.lit(1.0) - F.try_divide(grams, n - (k - 1))),
         "bar_ratio": F.try_divide(count(t, r"\|"), n),
         "comma_ratio": F.try_divide(count(t, ","), n),
-        "url_density": F.try_divide(count(t, ANY_URL), n),
+        "url_density": F.try_divide(url_count(t), n),
         "emoji_ratio": F.try_divide(count(t, f"[{EMOJI}]+"), n),
-        "spam": t.rlike(any_of(SPAM)),
+        "spam": spam_match(t),
     }
     keep = [F.col(f"`{c}`") for c in df.columns if c not in out]
     return df.select(*keep, *[c.alias(name) for name, c in out.items()])
@@ -124,4 +181,4 @@ def spam_text(c: Column) -> Column:
     """The wider spam test for perplexity: patterns, bars over one in a hundred, or signs over 15 in a hundred; null for an empty text."""
     n = F.length(c)
     signs = n - F.length(F.translate(c, ".。,，!！?？:：;；", ""))
-    return F.when(n > 0, c.rlike(any_of(MORE_SPAM)) | (F.try_divide(count(c, r"\|"), n) > 0.01) | (F.try_divide(signs, n) > 0.15))
+    return F.when(n > 0, spam_match(c, True) | (F.try_divide(n - F.length(F.replace(c, F.lit("|"), F.lit(""))), n) > 0.01) | (F.try_divide(signs, n) > 0.15))

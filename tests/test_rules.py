@@ -1,3 +1,4 @@
+import numpy as np
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
@@ -67,3 +68,37 @@ def test_score_range(spark, texts):
     df = spark.createDataFrame([(t.replace("\x00", ""),) for t in texts], "text string")
     for r in rules.score(rules.metrics(df)).select("rule_score").collect():
         assert r[0] is None or 0 <= r[0] <= 1 + 1e-9
+
+
+def test_distinct_strings(monkeypatch):
+    import random
+
+    rng = random.Random(7)
+    texts = ["", "a", "a" * 12, "a" * 13, "a" * 2000, "ab😀" * 400] + ["".join(rng.choice("abc😀中") for _ in range(rng.randint(0, 900))) for _ in range(100)]
+    for k in (2, 5, 13):
+        want = [len({t[i : i + k] for i in range(len(t) - k + 1)}) for t in texts]
+        assert [rules.distinct_strings(t, k) for t in texts] == want
+        # hashes that meet without their strings being equal
+        with monkeypatch.context() as m:
+            m.setattr(rules.np, "argsort", all_equal)
+            assert [rules.distinct_strings(t, k) for t in texts] == want
+
+
+def all_equal(h):
+    h[:] = 0
+    return np.arange(len(h))
+
+
+def test_signs_of_spam(spark):
+    """A text without a sign of spam is not searched; every pattern's matches have one."""
+    hits = ["12 区 9", "在线 播放", "视频 一区 二区", "久久久久", "不卡一区 二区", "精品 视频 在线", "日本 韩国 欧美", "激情 小说", "成人 视频", "在线 观看", "一本 道", "中文 字幕", "plain", "", None]
+    df = spark.createDataFrame([(t,) for t in hits], "t string")
+    t = F.col("t")
+    for more, patterns in ((False, rules.SPAM), (True, rules.MORE_SPAM)):
+        assert df.filter(~rules.spam_match(t, more).eqNullSafe(t.rlike(rules.any_of(patterns)))).collect() == []
+    assert df.filter(rules.spam_match(t, True)).count() == 12
+
+
+def test_strings_are_counted_without_making_arrays_of_them(spark):
+    df = spark.createDataFrame([("a b c d e f g h i j",)], "text string")
+    assert "array_distinct" not in rules.metrics(df)._jdf.queryExecution().optimizedPlan().toString()
