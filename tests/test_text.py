@@ -3,6 +3,7 @@ import re
 from pyspark.sql import functions as F
 
 from loomsift.functions import text as fx
+from loomsift.operators import rules
 
 
 def one(spark, value, f):
@@ -52,3 +53,26 @@ def test_white_space_class(spark):
     df = spark.createDataFrame([(c,) for c in chars], "c string")
     got = {r[0] for r in df.filter(F.col("c").rlike(f"[{fx.WS}]")).collect()}
     assert got == {c for c in chars if re.match(r"\s", c)}
+
+
+def test_patterns_for_speed_say_the_same(spark):
+    import random
+
+    rng = random.Random(3)
+    parts = ["ab", "-", ".", "com", "a" * 63, "b" * 70, "www.", "http://", "https://x", " ", "\n", "\t", "　", "\x85", "é", "中", "😀", "。", "—", "=", "`", "&", "^", "\\", "[", "]", "!", "?", "9"]
+    texts = ["".join(rng.choice(parts) for _ in range(rng.randint(0, 14))) for _ in range(3000)] + [None, ""]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    t = F.col("t")
+    pairs = {
+        "url": (rules.url_count(t), F.regexp_count(t, F.lit(fx.ANY_URL))),
+        "crawl": (fx.clean_crawl(t), F.trim(F.regexp_replace(F.regexp_replace(t, rf"[^{fx.CRAWL_KEEPS}]", ""), " {2,}", " "))),
+        "space": (fx.one_space(t), F.regexp_replace(t, rf"[{fx.WS}]+", " ")),
+        "emoji": (F.regexp_replace(fx.perplexity_text(t), "x", "x"), F.regexp_replace(F.regexp_replace(F.regexp_replace(F.regexp_replace(F.regexp_replace(t, rf"[{fx.WS}]+", " "), fx.URL, "[URL]"), r"[!?]{2,}", "!"), r"\.{3,}", "..."), f"[{fx.EMOJI}]+", "")),
+    }
+    for name, (fast, plain) in pairs.items():
+        assert df.filter(~fast.eqNullSafe(plain)).collect() == [], name
+    long = df.select(F.concat_ws("", F.array_repeat(t, 40)).alias("t"))
+    for src in (df, long):
+        for compat in (True, False):
+            for row in src.select("t", fx.perplexity_text(t, compat).alias("p"), fx.scored_text(t, 500, compat).alias("s")).filter("t is not null").collect():
+                assert (fx.plain_perplexity_text(row["t"], compat), fx.plain_scored_text(row["t"], 500, compat)) == (row["p"], row["s"])
