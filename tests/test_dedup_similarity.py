@@ -1,3 +1,4 @@
+import math
 import random
 
 import pytest
@@ -95,3 +96,47 @@ def test_embeddings(spark):
     rows = df.collect()
     assert rows[0]["v"] == rows[1]["v"] and sum(x * x for x in rows[0]["v"]) == pytest.approx(1)
     assert similarity.vectors_of(df.select("text"), lambda t: [[float(len(x))] for x in t]).collect()[0]["embedding"] == [5.0]
+
+
+def old_dbscan(rows, t, least):
+    """Labels by all pairs, on one machine."""
+    near = {i: [j for j, w in rows if j != i and sum(x * y for x, y in zip(v, w, strict=True)) >= t * math.dist(v, [0] * len(v)) * math.dist(w, [0] * len(w))] for i, v in rows}
+    core = {i for i in near if len(near[i]) + 1 >= least}
+    root: dict = {}
+    for i in sorted(core):
+        todo = [i]
+        while todo:
+            x = todo.pop()
+            if x not in root:
+                root[x] = i
+                todo += [y for y in near[x] if y in core]
+    names = {r: n for n, r in enumerate(sorted(set(root.values())))}
+    return {i: names[root[i]] if i in core else min((names[root[j]] for j in near[i] if j in core), default=-1) for i in near}
+
+
+def test_blocks_are_few_and_deal_no_row_out_often(spark, monkeypatch):
+    """Rows are dealt to a fixed number of blocks at most, until blocks are too large for a worker."""
+    df = spark.range(100_000).select("id", F.array(F.lit(1.0), F.lit(2.0)).alias("v"))
+    assert similarity.block_count(df, "v") == similarity.BLOCKS
+    assert similarity.block_count(df, "v", 50_000) == 2
+    monkeypatch.setattr(similarity, "BLOCK_BYTES", 16_000)
+    assert similarity.block_count(df, "v") == 100
+
+
+@pytest.mark.parametrize("tile", [3, 2048])
+def test_whatever_blocks_and_tiles(spark, monkeypatch, tile):
+    monkeypatch.setattr(similarity, "BLOCK", tile)
+    monkeypatch.setattr(similarity, "BLOCK_BYTES", 11 * 8 * 4)
+    rng = random.Random(2)
+    rows = [(i * 3, [rng.gauss(0, 1) for _ in range(4)]) for i in range(60)] + [(500, [1.0, 0.0, 0.0, 0.0]), (501, [2.0, 0.0, 0.0, 0.0])]
+    df = spark.createDataFrame(rows, "id long, v array<double>")
+    assert similarity.block_count(df, "v") == 6
+    cos = lambda v, w: sum(x * y for x, y in zip(v, w, strict=True)) / math.dist(v, [0] * 4) / math.dist(w, [0] * 4)
+    all_ = {(i, j): cos(v, w) for i, v in rows for j, w in rows if i < j}
+    assert {(r["a"], r["b"]): r["cos"] for r in similarity.similar_pairs(df, "id", "v", 0.8).collect()} == pytest.approx({p: c for p, c in all_.items() if c >= 0.8})
+    want = {i: max(c for p, c in all_.items() if i in p) for i, _ in rows}
+    assert {r["id"]: r["duplicate_ratio"] for r in similarity.duplicate_ratio(df, df, "id", "v", True).collect()} == pytest.approx(want)
+    other = df.filter("true")
+    assert {r["id"]: r["duplicate_ratio"] for r in similarity.duplicate_ratio(df, other, "id", "v", True).collect()} == pytest.approx(want)
+    for t, least in ((0.8, 3), (0.9, 3), (0.95, 2), (0.93, 4)):
+        assert {r["id"]: r["label"] for r in similarity.dbscan(df, "id", "v", ClusterConfig(t, least)).collect()} == old_dbscan(rows, t, least)
