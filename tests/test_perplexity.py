@@ -63,3 +63,9 @@ def test_counts_of_portions(spark, monkeypatch, k):
     docs = spark.createDataFrame([(t,) for t in ODD], "t string")
     want = Counter(t[i : i + k] for t in ODD if t for i in range(len(t) - k + 1))
     assert {r["gram"]: r["n"] for r in perplexity.train(docs, "t", k).collect()} == want
+
+
+def test_no_grams_at_all(spark):
+    docs = spark.createDataFrame([(1, "ab"), (2, ""), (3, None)], "id int, t string")
+    assert {r["id"]: r["perplexity"] for r in perplexity.score_texts(docs, "id", "t").collect()} == {1: 10000.0, 2: 10000.0, 3: 10000.0}
+    assert perplexity.perplexity(docs, "id", "t", perplexity.train(docs, "t")).collect() == []
