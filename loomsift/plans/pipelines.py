@@ -6,10 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loomsift.config import EngineConfig
-from loomsift.functions.text import clean_crawl
 from loomsift.operators import lexicon, quality
-from loomsift.operators.dedup import dedup_passages
-from loomsift.operators.html import html_text
+from loomsift.operators.html import with_crawl_text
 from loomsift.operators.lang import is_chinese
 from loomsift.operators.similarity import cluster_sizes, dbscan, hashed_embedding
 from loomsift.sources import files
@@ -49,7 +47,7 @@ def ingest_warc(spark: SparkSession, path: str, chinese_only: bool = True) -> Da
     """filename, payload and text of an archive's responses that leave a text, in the wanted language."""
     records = read_warc(spark, path).filter(F.col("rec_type") == "response")
     page = F.decode(F.make_valid_utf8(F.col("payload").cast("string")).cast("binary"), "UTF-8")
-    text = records.withColumn("text", dedup_passages(clean_crawl(html_text(page)))).filter(F.length("text") > 0)
+    text = with_crawl_text(records.withColumn("__page", page), "__page")
     if chinese_only:
         text = text.filter(is_chinese(F.col("text")))
     named = files.html_files(text)

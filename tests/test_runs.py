@@ -4,7 +4,8 @@ import json
 from pyspark.sql import functions as F
 
 from loomsift.cli import main, parser
-from loomsift.operators import html, lang, perplexity
+from loomsift.functions import text as fx
+from loomsift.operators import dedup, html, lang, perplexity
 from loomsift.plans import pipelines
 from loomsift.sources import files
 from loomsift.sources.warc import archive, format_record, read_warc
@@ -127,3 +128,16 @@ def test_merge_words(spark, tmp_path):
 def test_command_line():
     a = parser().parse_args(["process", "--input-dir", "x", "--vectorize"])
     assert a.vectorize and not a.filter_quality and a.file_pattern == "*.txt"
+
+
+def test_crawl_text_in_one_worker(spark, monkeypatch):
+    """The same rows as the three steps by columns, but one Python step, where those are run again for the filter."""
+    monkeypatch.setattr(html, "PORTION", 50)
+    body = "<p>A first passage of more than 21 signs.</p>"
+    pages = [f"<html><style>s</style>{body}{body}<b>{i}</b>  é中</html>" for i in range(40)] + [None, "", "<p></p>", "<script>x</script>", "plain"]
+    df = spark.createDataFrame([(i, h, str(i)) for i, h in enumerate(pages)], "id long, h string, more string")
+    got = html.with_crawl_text(df, "h")
+    want = df.select("id", "more", dedup.dedup_passages(fx.clean_crawl(html.html_text(F.col("h")))).alias("text")).filter(F.length("text") > 0)
+    assert got.columns == want.columns and sorted(got.collect()) == sorted(want.collect()) and got.count() == 41
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert (plan.count("MapInArrow"), plan.count("ArrowEvalPython")) == (1, 0)

@@ -76,3 +76,5 @@ def test_patterns_for_speed_say_the_same(spark):
         for compat in (True, False):
             for row in src.select("t", fx.perplexity_text(t, compat).alias("p"), fx.scored_text(t, 500, compat).alias("s")).filter("t is not null").collect():
                 assert (fx.plain_perplexity_text(row["t"], compat), fx.plain_scored_text(row["t"], 500, compat)) == (row["p"], row["s"])
+    for row in df.select("t", fx.clean_crawl(t).alias("c")).filter("t is not null").collect():
+        assert fx.plain_clean_crawl(row["t"]) == row["c"]
